@@ -75,9 +75,9 @@ def training_rows(values: DataFrame, as_of: dt.date | None = None,
     keeps only those customers (the daily set).
     """
     rows = distinct_orders(values).where(trainable()).drop("copies")
-    rows = salted_semi_join(rows, eligible_customers(values, as_of, cfg), "userId", ["OrderId"])
+    rows = salted_semi_join(rows, eligible_customers(values, as_of, cfg), ["userId"], ["OrderId"])
     if changed is not None:
-        rows = salted_semi_join(rows, changed, "userId", ["OrderId"])
+        rows = salted_semi_join(rows, changed, ["userId"], ["OrderId"])
     rows = rows.select("userId", "order_date", "order_value")
     return rows.orderBy(F.desc("order_date")) if newest_first else rows
 

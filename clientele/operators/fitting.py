@@ -9,7 +9,7 @@ Only those sums reach the driver, which takes a Newton step in log-parameters.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 from pyspark import StorageLevel
@@ -89,7 +89,7 @@ def fit(family, rfm: DataFrame, penalizer: float = 0.0, time_scale: float | None
             raise ValueError("no customers to fit the model to")
         scale = time_scale / oldest if family.times and time_scale and oldest else 1.0
         scaled = rows.withColumns({c: F.col(c) * scale for c in family.times})
-        names = [n for n in family.__dataclass_fields__]
+        names = [f.name for f in fields(family)]
 
         def objective(points: list[np.ndarray]) -> np.ndarray:
             vectors = [dict(zip(names, np.exp(p).tolist(), strict=True)) for p in points]

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 SALTS = 8
 
 
-def salted_semi_join(df: DataFrame, keys: DataFrame, on: str, spread_by: list[str],
+def salted_semi_join(df: DataFrame, keys: DataFrame, on: list[str], spread_by: list[str],
                      salts: int = SALTS) -> DataFrame:
     """Rows of ``df`` whose key is in ``keys``; one key's rows spread over ``salts`` tasks.
 
     ``spread_by`` names the columns that tell the rows of one key apart.
     """
     salted = df.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
-    repeated = keys.select(on, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    return salted.join(repeated, [on, "_salt"], "left_semi").drop("_salt")
+    repeated = keys.select(*on, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    return salted.join(repeated, [*on, "_salt"], "left_semi").select(*df.columns)

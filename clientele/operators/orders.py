@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.money import in_base_currency, net_amount, net_of_return
+from clientele.operators.joins import salted_semi_join
 from clientele.operators.versions import ORDER, RETURN, version_second, wanted_seconds
 
 
@@ -48,8 +49,8 @@ def movements(lines: DataFrame, documents: DataFrame,
     candidates, versioned = signed_lines(lines), lines
     if customers is not None:
         candidates = _lines_of(candidates, heads, customers)
-        touched = candidates.select(F.col("Id").alias("_id")).distinct()
-        versioned = lines.join(touched, F.col("Id") == F.col("_id"), "left_semi")
+        versioned = salted_semi_join(lines.select("Id", "__ts_ms"),
+                                     candidates.select("Id").distinct(), ["Id"], ["__ts_ms"])
     wanted = wanted_seconds(versioned, "Id")
     chosen = (candidates
               .join(wanted, (F.col("Id") == F.col("_key")) & (F.col("role") == F.col("_role"))
@@ -72,15 +73,15 @@ def movements(lines: DataFrame, documents: DataFrame,
 
 def _lines_of(candidates: DataFrame, heads: DataFrame, customers: DataFrame) -> DataFrame:
     """Lines on the customers' order documents, and return lines against those orders."""
-    theirs = (heads.where(F.col("role") == ORDER)
-              .join(customers.select("userId"), "userId", "left_semi"))
+    theirs = salted_semi_join(heads.where(F.col("role") == ORDER), customers,
+                              ["userId"], ["OrderId"])
     links = F.array(
-        F.struct(F.lit(ORDER).alias("_role"), F.col("DocumentId").alias("_link")),
-        F.struct(F.lit(RETURN).alias("_role"), F.col("OrderId").alias("_link")))
+        F.struct(F.lit(ORDER).alias("role"), F.col("DocumentId").alias("link")),
+        F.struct(F.lit(RETURN).alias("role"), F.col("OrderId").alias("link")))
     keys = theirs.select(F.inline(links)).distinct()
     link = F.when(F.col("role") == ORDER, F.col("DocumentId")).otherwise(F.col("SalesOrderId"))
-    return candidates.join(
-        keys, (F.col("role") == F.col("_role")) & (link == F.col("_link")), "left_semi")
+    return (salted_semi_join(candidates.withColumn("link", link), keys,
+                             ["role", "link"], ["Id", "second"]).drop("link"))
 
 
 def local_orders(moves: DataFrame) -> DataFrame:
@@ -136,7 +137,7 @@ def order_values(lines: DataFrame, documents: DataFrame, rates: DataFrame,
     moves = movements(lines, documents, customers).where(F.col("order_key").isNotNull())
     orders = local_orders(moves)
     if customers is not None:
-        orders = orders.join(customers.select("userId"), "userId", "left_semi")
+        orders = salted_semi_join(orders, customers, ["userId"], ["OrderId"])
     return net_orders(convert(orders, rates, "order_revenue", "order_date"),
                       convert(local_returns(moves), rates, "return_amount", "return_date"),
                       returns)
