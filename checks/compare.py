@@ -18,6 +18,8 @@ def session(cpus: int = 8) -> SparkSession:
             .config("spark.sql.shuffle.partitions", str(cpus))
             .config("spark.driver.memory", "8g")
             .config("spark.ui.enabled", "false")
+            # Recording the Python call site of every column costs more than planning.
+            .config("spark.python.sql.dataFrameDebugging.enabled", "false")
             .config("spark.ui.showConsoleProgress", "false")
             .getOrCreate())
 

@@ -7,13 +7,11 @@ to ``AS_OF``, never to the clock.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele import configure, schemas
-from clientele.functions.dates import months_before
 from clientele.functions.money import half_up
 from clientele.sources.ledger import Ledger, conform
 
@@ -21,69 +19,64 @@ AS_OF = dt.date(2001, 8, 1)
 CREDIT = 1_000_000_000
 
 
+# Columns that the fixtures read; a given schema saves the job that infers one.
+_SCHEMAS = {
+    "customer": "c_custkey long, c_nationkey int, c_acctbal double",
+    "orders": "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_extendedprice double, "
+                "l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
+    "events": "ts timestamp_ntz, user_id long, event_type string, value double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return configure(spark).read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ledger_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines 1-2 of an order flagged R become returns on a credit document."""
-    order, number = F.col("l_orderkey"), F.col("l_linenumber")
-    returned = (F.col("l_returnflag") == "R") & (number <= 2)
-    sign = F.when(returned, -1).otherwise(1)
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = price * F.col("l_discount").cast("decimal(4,2)")
-    letter = F.when(F.col("l_partkey") % 20 == 0, "P").otherwise("I")
-    lines = table(spark, sf_dir, "lineitem").select(
-        (order * 10 + number).alias("Id"),
-        F.when(returned, CREDIT + order * 2 + number % 2).otherwise(order).alias("DocumentId"),
-        F.when(returned, order).alias("SalesOrderId"),
-        F.concat(letter, F.col("l_partkey").cast("string")).alias("ItemId"),
-        (price * sign).alias("AmountWithoutVat"),
-        (discount * sign).alias("DiscountAmountWithoutVat"),
-        F.col("l_shipdate").alias("__ts_ms"))
+    lines = (table(spark, sf_dir, "lineitem")
+             .selectExpr("*", "l_returnflag = 'R' AND l_linenumber <= 2 AS back",
+                         "CAST(l_extendedprice AS DECIMAL(12,2)) AS price")
+             .selectExpr("*", "CAST(price * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS off")
+             .selectExpr(
+                 "l_orderkey * 10 + l_linenumber AS Id",
+                 f"IF(back, {CREDIT} + l_orderkey * 2 + l_linenumber % 2, l_orderkey) AS DocumentId",
+                 "IF(back, l_orderkey, NULL) AS SalesOrderId",
+                 "IF(l_partkey % 20 = 0, 'P', 'I') || CAST(l_partkey AS STRING) AS ItemId",
+                 "IF(back, -price, price) AS AmountWithoutVat",
+                 "IF(back, -off, off) AS DiscountAmountWithoutVat",
+                 "l_shipdate AS __ts_ms"))
     return conform(lines, schemas.DOCUMENT_LINE)
 
 
 def ledger_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order, a later version of every fifth, and two credit documents."""
-    customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.concat(F.lit("c"), F.col("c_custkey").cast("string"),
-                              F.lit("@example.com")).alias("BillToEmail"),
-        F.element_at(F.array(*map(F.lit, ("DKK", "EUR", "SEK", "USD"))),
-                     F.col("c_nationkey") % 4 + 1).alias("CurrencyCode"))
-    placed = F.col("o_orderdate").cast("timestamp")
-
-    def version(key, created_after: int, changed_after: int):
-        return F.struct(key.alias("Id"), key.alias("OrderId"),
-                        (placed + F.make_dt_interval(F.lit(created_after))).alias("CreatedOn"),
-                        (placed + F.make_dt_interval(F.lit(changed_after))).alias("__ts_ms"))
-
-    order = F.col("o_orderkey")
-    versions = F.array(version(order, 0, 0),
-                       F.when(order % 5 == 0, version(order, 0, 3)),
-                       version(CREDIT + order * 2, 45, 45),
-                       version(CREDIT + 1 + order * 2, 30, 30))
+    customer = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "'c' || CAST(c_custkey AS STRING) || '@example.com' AS BillToEmail",
+        "element_at(array('DKK', 'EUR', 'SEK', 'USD'), c_nationkey % 4 + 1) AS CurrencyCode")
+    versions = f"""inline(array_compact(array(
+        named_struct('Id', o_orderkey, 'created', 0, 'changed', 0),
+        IF(o_orderkey % 5 = 0, named_struct('Id', o_orderkey, 'created', 0, 'changed', 3), NULL),
+        named_struct('Id', {CREDIT} + o_orderkey * 2, 'created', 45, 'changed', 45),
+        named_struct('Id', {CREDIT + 1} + o_orderkey * 2, 'created', 30, 'changed', 30))))"""
     documents = (table(spark, sf_dir, "orders")
-                 .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-                 .select("BillToEmail", "CurrencyCode", F.inline(F.array_compact(versions))))
+                 .join(customer, F.expr("o_custkey = c_custkey"))
+                 .selectExpr("BillToEmail", "CurrencyCode", "o_orderdate", versions)
+                 .selectExpr("Id", "Id AS OrderId", "BillToEmail", "CurrencyCode",
+                             "o_orderdate + make_dt_interval(created) AS CreatedOn",
+                             "o_orderdate + make_dt_interval(changed) AS __ts_ms"))
     return conform(documents, schemas.DOCUMENT)
 
 
 def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rate per currency and day in use; USD has none on the 13th."""
-    currency, month = F.col("CurrencyCode"), F.month("Date")
-    rate = (F.when(currency == "DKK", F.lit(1.0).cast("decimal(8,4)"))
-            .when(currency == "EUR", F.lit("0.1340").cast("decimal(8,4)") + _step("0.0001") * month)
-            .when(currency == "SEK", F.lit("1.4500").cast("decimal(8,4)") + _step("0.0010") * month)
-            .otherwise(F.lit("0.1450").cast("decimal(8,4)") + _step("0.0002") * month))
     days = (ledger_documents(spark, sf_dir)
-            .select("CurrencyCode", F.to_date("CreatedOn").alias("Date"))
-            .where(~((currency == "USD") & (F.dayofmonth("Date") == 13))).distinct())
-    return conform(days.withColumn("Rate", rate), schemas.EXCHANGE_RATES)
-
-
-def _step(value: str):
-    return F.lit(value).cast("decimal(8,4)")
+            .selectExpr("CurrencyCode", "to_date(CreatedOn) AS Date")
+            .where("NOT (CurrencyCode = 'USD' AND day(Date) = 13)").distinct())
+    return conform(days.selectExpr("*", """CASE CurrencyCode WHEN 'DKK' THEN 1.0000
+        WHEN 'EUR' THEN 0.1340 + 0.0001 * month(Date) WHEN 'SEK' THEN 1.4500 + 0.0010 * month(Date)
+        ELSE 0.1450 + 0.0002 * month(Date) END AS Rate"""), schemas.EXCHANGE_RATES)
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
@@ -93,52 +86,46 @@ def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchase events as training rows: a short, dense history."""
-    return (table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-            .select(F.col("user_id").cast("string").alias("userId"),
-                    F.to_date("ts").alias("order_date"), F.col("value").alias("order_value")))
+    return (table(spark, sf_dir, "events").where("event_type = 'purchase'")
+            .selectExpr("CAST(user_id AS STRING) AS userId", "to_date(ts) AS order_date",
+                        "value AS order_value"))
 
 
 def _customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = F.to_date("o_orderdate") > months_before(F.lit(AS_OF), 6)
-    price = F.col("o_totalprice").cast("decimal(12,2)")
-    return (table(spark, sf_dir, "orders").groupBy("o_custkey")
-            .agg(F.sum(price).alias("spent"), F.count(F.lit(1)).alias("orders"),
-                 F.sum(F.when(recent, price)).alias("spent_lately"))
-            .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")))
+    return (table(spark, sf_dir, "orders")
+            .selectExpr("o_custkey", "CAST(o_totalprice AS DECIMAL(12,2)) AS price",
+                        f"to_date(o_orderdate) > add_months(DATE '{AS_OF}', -6) AS lately")
+            .groupBy("o_custkey")
+            .agg(F.expr("sum(price) AS spent"), F.expr("count(*) AS orders"),
+                 F.expr("sum(price) FILTER (WHERE lately) AS spent_lately"))
+            .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")))
 
 
 def existing_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prediction table of all buyers; short histories have no forecast."""
-    spent = F.col("spent").cast("double")
-    return (_customer_orders(spark, sf_dir)
-            .select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("userId"),
-                    (F.col("spent") + F.col("c_acctbal").cast("decimal(12,2)"))
-                    .cast("double").alias("clv"),
-                    F.when(F.col("orders") > 3, F.col("orders") / 40.0).alias("churn_probability"),
-                    F.col("c_acctbal").alias("predicted_value_next_6_month"),
-                    spent.alias("current_total_revenue")))
+    return _customer_orders(spark, sf_dir).selectExpr(
+        "'c' || CAST(c_custkey AS STRING) AS userId",
+        "CAST(spent + CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) AS clv",
+        "IF(orders > 3, orders / 40D, NULL) AS churn_probability",
+        "c_acctbal AS predicted_value_next_6_month",
+        "CAST(spent AS DOUBLE) AS current_total_revenue")
 
 
 def new_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Freshly scored rows of the buyers of the last half year, every row twice."""
-    once = (_customer_orders(spark, sf_dir).where(F.col("spent_lately").isNotNull())
-            .select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("userId"),
-                    (F.col("spent") + F.col("spent_lately")).cast("double").alias("clv"),
-                    (F.col("orders") / 25.0).alias("churn_probability"),
-                    half_up(F.col("c_acctbal") / 2).alias("predicted_value_next_6_month"),
-                    F.col("spent").cast("double").alias("current_total_revenue")))
-    return once.unionAll(once)
+    return _customer_orders(spark, sf_dir).where("spent_lately IS NOT NULL").select(
+        F.expr("'c' || CAST(c_custkey AS STRING) AS userId"),
+        F.expr("CAST(spent + spent_lately AS DOUBLE) AS clv"),
+        F.expr("orders / 25D AS churn_probability"),
+        half_up(F.expr("c_acctbal / 2")).alias("predicted_value_next_6_month"),
+        F.expr("CAST(spent AS DOUBLE) AS current_total_revenue"),
+        F.expr("explode(array(1, 2)) AS copy")).drop("copy")
 
 
 def model_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names as in a model folder: dated, undated, and with an impossible month."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    kind = F.element_at(F.array(*map(F.lit, ("BGNBD", "PARETO", "ggf"))),
-                        (F.col("o_orderkey") % 3 + 1).cast("int"))
-    suffix = (F.when(F.col("o_orderkey") % 11 == 0, F.lit("latest"))
-              .when(F.col("o_orderkey") % 11 == 1, F.lit("2024-13-01"))
-              .otherwise(day))
-    folder = F.when(F.col("o_orderkey") % 7 == 0, "archive/").otherwise("")
-    return (table(spark, sf_dir, "orders")
-            .select(F.concat(folder, F.lit("clv_model_"), kind, F.lit("_"), suffix,
-                             F.lit(".pkl")).alias("file")).distinct())
+    return table(spark, sf_dir, "orders").selectExpr("""concat(
+        IF(o_orderkey % 7 = 0, 'archive/', ''), 'clv_model_',
+        element_at(array('BGNBD', 'PARETO', 'ggf'), CAST(o_orderkey % 3 + 1 AS INT)), '_',
+        CASE o_orderkey % 11 WHEN 0 THEN 'latest' WHEN 1 THEN '2024-13-01'
+             ELSE date_format(o_orderdate, 'yyyy-MM-dd') END, '.pkl') AS file""").distinct()

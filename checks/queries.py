@@ -372,14 +372,12 @@ def published_table(spark, sf):
 
 # Fits
 
-_FIT_SCHEMA = ("model_type string, params map<string,double>, n_customers long, "
-               "mean_log_likelihood double, converged boolean")
-
-
 def _fitted(spark, result: Fit) -> DataFrame:
-    row = (result.model.type_tag, vars(result.model), result.n_customers,
-           result.log_likelihood / result.n_customers, result.converged)
-    return spark.createDataFrame([row], _FIT_SCHEMA)
+    """One row per parameter of the fitted model."""
+    rows = [(name, value, result.n_customers, result.log_likelihood / result.n_customers,
+             result.converged) for name, value in vars(result.model).items()]
+    return spark.createDataFrame(rows, "parameter string, value double, n_customers long, "
+                                       "mean_log_likelihood double, converged boolean")
 
 
 def _fits(name: str, fit) -> None:

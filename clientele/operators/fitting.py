@@ -13,7 +13,7 @@ from dataclasses import dataclass, fields
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.config import BGNBD, PARETO
@@ -24,7 +24,7 @@ from clientele.operators.pareto import ParetoNbd
 PURCHASE_MODELS = {BGNBD: BgNbd, PARETO: ParetoNbd}
 
 _STEP = 1e-3
-_SEARCH = (1.0, 0.5, 2.0, 0.25, 0.1, 0.03, 0.01, 4.0)
+_SEARCH = (4.0, 2.0, 0.5, 0.25, 0.1, 0.03, 0.01)
 _MAX_STEPS = 100
 _TOLERANCE = 1e-8
 
@@ -54,19 +54,27 @@ def sufficient_rows(rfm: DataFrame, family) -> DataFrame:
     return (rfm.groupBy(*family.inputs).agg(F.count(F.lit(1)).alias("weight")))
 
 
-def likelihoods(rows: DataFrame, family, vectors: list[dict[str, float]]) -> list[float]:
-    """Total log-likelihood of the weighted rows at each parameter vector, in one job."""
-    names = list(vectors[0])
-    candidates = F.array(*[
-        F.struct(F.lit(k).alias("_k"), F.lit(family.constant(**v)).alias("_constant"),
-                 *[F.lit(float(v[n])).alias(f"_{n}") for n in names])
-        for k, v in enumerate(vectors)])
-    one = family.log_likelihood({n: F.col(f"_{n}") for n in names}, F.col("_constant"),
-                                *[F.col(c) for c in family.inputs])
+def summed_likelihood(family) -> Column:
+    """Aggregate column: weighted log-likelihood at the parameters in columns ``_name``."""
+    one = family.log_likelihood({f.name: F.col(f"_{f.name}") for f in fields(family)},
+                                F.col("_constant"), *[F.col(c) for c in family.inputs])
     # An undefined logarithm is NULL, which a sum would skip; NaN spoils it as it should.
-    sums = (rows.select(*family.inputs, "weight", F.inline(candidates))
-            .groupBy("_k").agg(F.sum(F.col("weight") * F.coalesce(one, F.lit(math.nan)))
-                               .alias("total"))
+    return F.sum(F.col("weight") * F.coalesce(one, F.lit(math.nan))).alias("total")
+
+
+def likelihoods(rows: DataFrame, family, vectors: list[dict[str, float]],
+                summed: Column | None = None) -> list[float]:
+    """Total log-likelihood of the weighted rows at each parameter vector, in one job.
+
+    ``summed`` is the family's aggregate column, for callers that come here often.
+    """
+    # One SQL text instead of a column object per number.
+    candidates = ", ".join(
+        f"named_struct('_k', {k}, '_constant', {family.constant(**v)!r}D, "
+        + ", ".join(f"'_{n}', {float(x)!r}D" for n, x in v.items()) + ")"
+        for k, v in enumerate(vectors))
+    sums = (rows.select(*family.inputs, "weight", F.expr(f"inline(array({candidates}))"))
+            .groupBy("_k").agg(summed_likelihood(family) if summed is None else summed)
             .collect())
     totals = [math.nan] * len(vectors)
     for row in sums:
@@ -90,10 +98,11 @@ def fit(family, rfm: DataFrame, penalizer: float = 0.0, time_scale: float | None
         scale = time_scale / oldest if family.times and time_scale and oldest else 1.0
         scaled = rows.withColumns({c: F.col(c) * scale for c in family.times})
         names = [f.name for f in fields(family)]
+        summed = summed_likelihood(family)
 
         def objective(points: list[np.ndarray]) -> np.ndarray:
             vectors = [dict(zip(names, np.exp(p).tolist(), strict=True)) for p in points]
-            values = np.array(likelihoods(scaled, family, vectors)) / total
+            values = np.array(likelihoods(scaled, family, vectors, summed)) / total
             penalties = np.array([penalizer * np.exp(2.0 * p).sum() for p in points])
             return np.where(np.isfinite(values), penalties - values, np.inf)
 
@@ -102,7 +111,7 @@ def fit(family, rfm: DataFrame, penalizer: float = 0.0, time_scale: float | None
         for name in family.rates:
             params[name] /= scale
         model = family(**params)
-        best = likelihoods(rows, family, [params])[0]
+        best = likelihoods(rows, family, [params], summed)[0]
         if not math.isfinite(best):
             raise ArithmeticError(f"the likelihood is not finite at {model}")
         return Fit(model, int(total), best, steps, converged)
@@ -137,9 +146,13 @@ def _derivatives(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _newton(objective, theta: np.ndarray) -> tuple[np.ndarray, int, bool]:
-    """Damped Newton search: one job for the derivatives, one for the step length."""
+    """Damped Newton search.
+
+    A job evaluates shorter and longer steps together with all derivatives at the
+    full one, so that a full step, the usual case, costs a single job.
+    """
+    values = objective(_stencil(theta))
     for step in range(1, _MAX_STEPS + 1):
-        values = objective(_stencil(theta))
         if not np.isfinite(values).all():
             return theta, step, False
         gradient, hessian = _derivatives(values, len(theta))
@@ -148,14 +161,23 @@ def _newton(objective, theta: np.ndarray) -> tuple[np.ndarray, int, bool]:
         curvature = np.maximum(np.abs(curvature), 1e-5)
         move = -axes @ ((axes.T @ gradient) / curvature)
         move *= min(1.0, 2.0 / max(np.abs(move).max(), 1e-300))
-        # The predicted gain tells when to stop, before paying for another search.
-        if -gradient @ move < _TOLERANCE * 1e-2 * max(1.0, abs(values[0])):
+        enough = _TOLERANCE * max(1.0, abs(values[0]))
+        if -gradient @ move < 1e-3 * enough:
+            return theta, step, True
+        full = _stencil(theta + move)
+        tried = objective(full + [theta + s * move for s in _SEARCH])
+        there, others = tried[:len(full)], tried[len(full):]
+        best = int(np.argmin(others))
+        before = values[0]
+        if there[0] <= others[best] and np.isfinite(there).all():
+            theta, values = full[0], there
+        elif others[best] < before:
+            theta = theta + _SEARCH[best] * move
+            values = objective(_stencil(theta))
+        else:
             return theta, step, True
-        tried = objective([theta + s * move for s in _SEARCH])
-        best = int(np.argmin(tried))
-        if not tried[best] < values[0]:
+        if before - values[0] < enough:
             return theta, step, True
-        theta = theta + _SEARCH[best] * move
     return theta, _MAX_STEPS, False
 
 

@@ -24,7 +24,8 @@ _SETTINGS = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the session settings and return the session."""
     for key, value in _SETTINGS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele import schemas
@@ -19,7 +18,7 @@ class Ledger(NamedTuple):
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a fixed schema (also turns zone-less timestamps into UTC ones)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()})" for f in schema.fields])
 
 
 def read_ledger(spark: SparkSession, lines: str, documents: str, rates: str,
