@@ -178,10 +178,14 @@ def _rounded(df: DataFrame) -> DataFrame:
         F.round(c, 6).alias(c) for c in df.columns if c not in ("userId", "frequency")])
 
 
+def _train(spark, sf) -> DataFrame:
+    """Training rows, written once for the operators that read them more than once."""
+    return jobs.written(datasets.training_set(fx.ledger(spark, sf), "weekly", fx.AS_OF), "train")
+
+
 @register("rfm_month", _RFM_SQL.format("month_rfm"))
 def rfm_month(spark, sf):
-    train = datasets.training_set(fx.ledger(spark, sf), "weekly", fx.AS_OF)
-    return _rounded(rfm.rfm_summary(train, "M"))
+    return _rounded(rfm.rfm_summary(_train(spark, sf), "M"))
 
 
 @register("rfm_week", _RFM_SQL.format("week_rfm"))
@@ -203,15 +207,20 @@ def rfm_filtered(spark, sf):
           round(monetary_value, 6) AS monetary_value, round(current_total_revenue, 6) AS current_total_revenue
           FROM month_repeat""")
 def rfm_with_revenue(spark, sf):
-    train, revenue = datasets.load_training(fx.ledger(spark, sf), "weekly", fx.AS_OF)
-    return _rounded(rfm.with_revenue(rfm.repeat_buyers(rfm.rfm_summary(train, "M")), revenue))
+    train = _train(spark, sf)
+    return _rounded(rfm.with_revenue(rfm.repeat_buyers(rfm.rfm_summary(train, "M")),
+                                     cohort.customer_revenue(train)))
 
 
 def _customers(spark, sf, mode="weekly"):
-    """Histories of the scorable customers, from the join-free profiles."""
+    """Histories of the scorable customers, from the join-free profiles.
+
+    The profiles are written first, as in the jobs: the end of the observation
+    is a second look at them.
+    """
     profiles = cohort.customer_profiles(
         datasets.scoped_values(fx.ledger(spark, sf), mode, fx.AS_OF), "M", fx.AS_OF)
-    return datasets.scoring_rows(profiles)
+    return datasets.scoring_rows(jobs.written(profiles, "profiles"))
 
 
 @register("scoring_rows", """SELECT userId, frequency, round(recency, 6) AS recency, round(T, 6) AS T,
