@@ -17,6 +17,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when a later stage must then shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Skip the sort of a join when every partition of one side is known to be small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
