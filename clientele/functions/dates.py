@@ -39,8 +39,3 @@ def embedded_date(text: Column) -> Column:
     """First yyyy-mm-dd inside a text; NULL when absent or not a calendar date."""
     found = F.regexp_extract(text, r"\d{4}-\d{2}-\d{2}", 0)
     return F.try_to_date(F.nullif(found, F.lit("")), "yyyy-MM-dd")
-
-
-def stamp(day: Column, pattern: str = "yyyy-MM-dd") -> Column:
-    """Date as it appears in model names (yyyy-MM-dd) and export names (yyyyMMdd)."""
-    return F.date_format(day, pattern)

@@ -36,7 +36,8 @@ def history(profiles: DataFrame, frequency: str = "M",
     """Add frequency, recency, T and monetary_value to per-customer purchase periods.
 
     The first purchase is left out of frequency and of the mean value.  The
-    observation ends with the latest period in the input unless given.
+    observation ends with the latest period in the input unless given; finding it
+    reads ``profiles`` a second time, so pass a written or cached frame then.
     ``unit='calendar'`` counts whole months instead of mean-length ones.
     """
     tag = check_frequency(frequency)

@@ -15,7 +15,7 @@ from clientele.operators.scoring import predict
 from clientele.operators.segments import merge_and_segment, segment
 from clientele.plans.datasets import scoped_values, scoring_rows
 from clientele.schemas import PREDICTION
-from clientele.session import configure, shared_path
+from clientele.session import configure, shared_path, size_shuffles
 from clientele.sources.ledger import Ledger
 from clientele.sources.models import latest_models, read_models, save_models
 from clientele.sources.predictions import PredictionTable, read_staged, stage
@@ -64,6 +64,7 @@ def run_weekly(spark: SparkSession, ledger: Ledger, registry: str, table: Predic
     Returns the scored batch.  Without customers nothing is written.
     """
     day = business_day(configure(spark), as_of, cfg)
+    size_shuffles(spark, ledger.lines, ledger.documents)
     profiles = written(customer_profiles(scoped_values(ledger, "weekly", day, cfg),
                                          cfg.frequency, day, cfg), "profiles")
     customers = written(scoring_rows(profiles, cfg, observation_end), "histories")
@@ -88,6 +89,7 @@ def run_daily(spark: SparkSession, ledger: Ledger, registry: str, table: Predict
     Returns the scored batch.  Without changed customers nothing is written.
     """
     day = business_day(configure(spark), as_of, cfg)
+    size_shuffles(spark, ledger.lines, ledger.documents)
     profiles = written(customer_profiles(scoped_values(ledger, "daily", day, cfg),
                                          cfg.frequency, day, cfg), "profiles")
     return score_and_merge(spark, profiles, registry, table, staging, _version("daily", day), cfg,

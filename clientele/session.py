@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
     # Timestamps are UTC days; the business calendar is applied explicitly.
@@ -31,6 +32,35 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Ledger bytes per shuffle partition before AQE merges small ones, and the most partitions
+# whose map statuses a driver still handles well.
+_PARTITION_BYTES = 512 * 1024 ** 2
+_MAX_PARTITIONS = 100_000
+
+
+# What the optimizer assumes about a source that cannot tell its size.
+_UNKNOWN_BYTES = 2 ** 63 - 1
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables a frame reads, by the optimizer's statistics; runs no job.
+
+    Sources of unknown size count as nothing.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < _UNKNOWN_BYTES)
+
+
+def size_shuffles(spark: SparkSession, *inputs: DataFrame) -> int:
+    """Start shuffles with enough partitions for these inputs; never fewer than configured."""
+    needed = math.ceil(sum(input_bytes(df) for df in inputs) / _PARTITION_BYTES)
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(configured, min(needed, _MAX_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
 

@@ -6,12 +6,15 @@ import pytest
 from ledgers import AS_OF, document, ledger, line, rate, rows
 
 from checks.parameters import BG, GG
-from clientele import ScoringConfig
+from clientele import ScoringConfig, schemas
 from clientele.operators.cohort import changed_customers, customer_profiles
 from clientele.operators.fitting import Fit
 from clientele.operators.orders import order_values
+from clientele.operators.rfm import rfm_summary
 from clientele.operators.scoring import predict
+from clientele.operators.segments import segment
 from clientele.plans import datasets, jobs
+from clientele.session import input_bytes, size_shuffles
 from clientele.sources.ledger import read_ledger
 from clientele.sources.models import read_models, save_models
 from clientele.sources.predictions import PredictionTable
@@ -109,3 +112,30 @@ def test_daily_training_equals_weekly_for_the_changed(spark, book):
 def test_unknown_mode(book):
     with pytest.raises(ValueError):
         datasets.training_set(book, "hourly", AS_OF)
+
+
+def test_output_schemas(spark, book):
+    def types(schema):
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    train, revenue = datasets.load_training(book, "weekly", AS_OF)
+    assert types(train.schema) == types(schemas.TRAIN)
+    assert types(revenue.schema) == types(schemas.REVENUE)
+    assert types(rfm_summary(train, "M").schema) == types(schemas.RFM)
+    customers = datasets.scoring_rows(customer_profiles(order_values(*book), "M", AS_OF))
+    scored = predict(customers, BG, GG)
+    assert types(scored.schema) == types(schemas.PREDICTION)
+    assert types(segment(scored).schema) == types(schemas.SEGMENTED)
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    spark.range(10_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert 10_000 < input_bytes(df) < 10_000_000
+    # Rows from Python have no known size.
+    assert input_bytes(spark.createDataFrame([(1,)], "x int")) < 10_000_000
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert size_shuffles(spark, df) == configured
+    # A plain range claims the size of its rows, here some 100 TB.
+    assert size_shuffles(spark, spark.range(12_500_000_000_000)) == 100_000
+    assert size_shuffles(spark, df) == configured

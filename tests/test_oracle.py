@@ -6,8 +6,15 @@ from checks.compare import database, differences
 from checks.queries import ORACLES
 from conftest import SF_DIR
 
-# The jobs have tests of their own, and `python -m checks.compare` runs everything.
-SLOW = {"run_daily", "stream_scoring"}
+# The jobs have tests of their own.  Of queries that share most of their work a few stand
+# for all here; `python -m checks.compare` runs every one.
+SLOW = {
+    "run_daily", "stream_scoring", "order_revenue_local", "order_revenue_base", "returns_local",
+    "returns_base", "cohort_counts", "eligible_customers", "training_newest_first",
+    "revenue_from_training", "rfm_filtered", "rfm_week", "scoring_rows", "p_alive_bgnbd",
+    "expected_purchases_bgnbd", "p_alive_pareto", "expected_average_value", "discounted_purchases",
+    "lifetime_value", "log_likelihood_bgnbd", "log_likelihood_gamma_gamma", "segmented_scores",
+}
 
 
 @pytest.fixture(scope="module")
