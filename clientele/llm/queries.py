@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.common import table, whole_text
+from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.licenses import license_scan
 from clientele.llm.sharding import shuffle_into_shards
 
@@ -43,3 +44,14 @@ def op8_shard_shuffle(spark, sf):
     return dealt.select("doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"),
                         F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
                         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op7_exact_dedup", """
+    WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+    FROM d JOIN g USING (t)""")
+def op7_exact_dedup(spark, sf):
+    """Every document with its group of equal texts."""
+    return exact_groups(table(spark, sf, "documents")).drop("text_key")
