@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm.common import table, whole_text
+from clientele.llm.common import crc_of_id, table, whole_text
 from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.licenses import license_scan
+from clientele.llm.quality import learn_from_fold, quality_scores
 from clientele.llm.sharding import shuffle_into_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +56,13 @@ def op8_shard_shuffle(spark, sf):
 def op7_exact_dedup(spark, sf):
     """Every document with its group of equal texts."""
     return exact_groups(table(spark, sf, "documents")).drop("text_key")
+
+
+@register("op6_quality")
+def op6_quality(spark, sf):
+    """Every document's probability of quality label 1; a fifth of the labels is held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    weights = learn_from_fold(docs, table(spark, sf, "labels"))
+    return (quality_scores(docs, weights)
+            .select("doc_id", (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))
