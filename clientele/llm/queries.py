@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from clientele.llm.common import crc_of_id, table, whole_text
 from clientele.llm.exact_dedup import exact_groups
+from clientele.llm.html import extract_text
 from clientele.llm.licenses import license_scan
+from clientele.llm.packing import pack_tokens
 from clientele.llm.quality import learn_from_fold, quality_scores
 from clientele.llm.sharding import shuffle_into_shards
 
@@ -66,3 +68,17 @@ def op6_quality(spark, sf):
     return (quality_scores(docs, weights)
             .select("doc_id", (crc_of_id(F.col("doc_id")) % 5 == 0).alias("held_out"), "score",
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
+@register("op1_pack_tokens")
+def op1_pack_tokens(spark, sf):
+    """All documents as matrices of token ids."""
+    return pack_tokens(table(spark, sf, "documents"))
+
+
+@register("op9_html_text")
+def op9_html_text(spark, sf):
+    """The main text of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text",
+                                      F.length("text").cast("bigint").alias("n_chars"))
