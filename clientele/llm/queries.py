@@ -12,6 +12,7 @@ from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.html import extract_text
 from clientele.llm.licenses import license_scan
 from clientele.llm.packing import pack_tokens
+from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import learn_from_fold, quality_scores
 from clientele.llm.sharding import shuffle_into_shards
 
@@ -82,3 +83,10 @@ def op9_html_text(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "url", "html")
     return extract_text(pages).select("page_id", "url", "text",
                                       F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("op3_sentencepiece")
+def op3_sentencepiece(spark, sf):
+    """The ids of every document's text, and the text decoded from them."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return encode_pieces(docs).select("doc_id", "ids", "n_tokens", "decoded")
