@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.llm.common import crc_of_id, table, whole_text
+from clientele.llm.decontamination import find_copies
 from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.html import extract_text
 from clientele.llm.licenses import license_scan
@@ -90,3 +91,9 @@ def op3_sentencepiece(spark, sf):
     """The ids of every document's text, and the text decoded from them."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return encode_pieces(docs).select("doc_id", "ids", "n_tokens", "decoded")
+
+
+@register("op10_decontamination")
+def op10_decontamination(spark, sf):
+    """Pairs of a document and a benchmark item that it holds a copy of."""
+    return find_copies(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
