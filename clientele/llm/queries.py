@@ -11,6 +11,7 @@ from clientele.llm.common import crc_of_id, table, whole_text
 from clientele.llm.decontamination import find_copies
 from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.html import extract_text
+from clientele.llm.jaccard import near_groups
 from clientele.llm.licenses import license_scan
 from clientele.llm.packing import pack_tokens
 from clientele.llm.pieces import encode_pieces
@@ -97,3 +98,9 @@ def op3_sentencepiece(spark, sf):
 def op10_decontamination(spark, sf):
     """Pairs of a document and a benchmark item that it holds a copy of."""
     return find_copies(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register("op4_jaccard_join")
+def op4_jaccard_join(spark, sf):
+    """Every document with the group that links of similar word 5-grams make."""
+    return near_groups(table(spark, sf, "documents"))
