@@ -12,6 +12,7 @@ from clientele.llm.decontamination import find_copies
 from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.html import extract_text
 from clientele.llm.jaccard import near_groups
+from clientele.llm.language_model import held_out_fold, score_texts
 from clientele.llm.licenses import license_scan
 from clientele.llm.packing import pack_tokens
 from clientele.llm.pieces import encode_pieces
@@ -104,3 +105,9 @@ def op10_decontamination(spark, sf):
 def op4_jaccard_join(spark, sf):
     """Every document with the group that links of similar word 5-grams make."""
     return near_groups(table(spark, sf, "documents"))
+
+
+@register("op5_language_model")
+def op5_language_model(spark, sf):
+    """Every document's log-probability, learnt from four fifths of them."""
+    return score_texts(table(spark, sf, "documents"), held_out_fold())
