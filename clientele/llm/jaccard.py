@@ -68,7 +68,8 @@ def _identified(words: int):
                 for row, own, name in _sets(hasher, batch, words):
                     sizes[row], names[row] = len(own), name
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(1), pa.array(sizes), pa.array(names, mask=sizes == 0)], ["id", "n", "set"])
+                    [*batch.columns[1:], pa.array(sizes), pa.array(names, mask=sizes == 0)],
+                    ["id", "text_key", "n", "set"])
     return rows
 
 
@@ -361,20 +362,54 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
        Posting lists within one group are left out, long ones compared in blocks.  Pairs inside a group are
        reachable from each other already, so no component is lost.
     """
-    texts = docs.select(whole_text(F.col(text_col)).alias("text"), F.col(id_col).alias("id"))
-    id_type = texts.schema["id"]
+    return (_grouped(docs, id_col, text_col, words, percent)
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                      percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs`, with all columns, of which one stays for each group of `near_groups`: the smallest id.
+
+    Rows without a set (no words) are in no group and all stay.  Ids that are NULL count as the largest; of rows of
+    one id the smaller hash of the text stays, of rows equal in both any one.
+    """
+    rows = saved(_grouped(docs, id_col, text_col, words, percent).where("n > 0"), "jaccard-groups")
+    keepers = saved(rows.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key"))
+                                              .alias("keeper")), "jaccard-keepers")
+    keys = (rows.join(keepers, "group")
+            .withColumn("kept", F.col("id").eqNullSafe(F.col("keeper.id"))
+                        & (F.col("text_key") == F.col("keeper.text_key")))
+            .groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__text"))
+            .agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")))
+    keys = saved(keys, "jaccard-kept")
+    same = lambda k: F.col(f"`{id_col}`").eqNullSafe(k["__id"]) & (
+        F.xxhash64(f"`{text_col}`") == k["__text"])
+    dropped, twice = keys.where("NOT __kept"), keys.where("__kept AND __rows > 1")
+    stays = docs.join(dropped, same(dropped), "left_anti")
+    if twice.isEmpty():
+        return stays
+    return stays.join(twice, same(twice), "left_anti").unionByName(
+        stays.join(twice, same(twice), "left_semi").dropDuplicates([id_col, text_col]))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """Rows (id, text_key, n, component_id, group); the group is NULL for texts without words."""
+    texts = docs.select(whole_text(F.col(text_col)).alias("text"), F.col(id_col).alias("id"),
+                        F.xxhash64(text_col).alias("text_key"))
     rows = saved(texts.mapInArrow(_identified(words), T.StructType([
-        id_type, T.StructField("n", T.LongType()), T.StructField("set", T.LongType())])), "jaccard-sets")
+        texts.schema["id"], T.StructField("text_key", T.LongType()), T.StructField("n", T.LongType()),
+        T.StructField("set", T.LongType())])), "jaccard-sets")
     classes = saved(rows.where("set IS NOT NULL").groupBy("set")
                     .agg(F.first("n").alias("n"), F.min("id").alias("first_id")), "jaccard-classes")
     groups = _set_groups(texts.select("text"), classes, words, percent)
     named = (classes.join(groups, F.col("set") == F.col("node"), "left")
              .select("set", "first_id", F.coalesce("group", "set").alias("group")))
     smallest = named.groupBy("group").agg(F.min("first_id").alias("component_id"))
-    of_set = saved(named.join(smallest, "group").select("set", "component_id"), "jaccard-components")
-    empty = rows.where("set IS NULL").select("id", "n", F.col("id").alias("component_id"))
-    return (rows.where("set IS NOT NULL").join(of_set, "set").select("id", "n", "component_id").union(empty)
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
+    of_set = saved(named.join(smallest, "group").select("set", "component_id", "group"), "jaccard-components")
+    empty = rows.where("set IS NULL").select("id", "text_key", "n", F.col("id").alias("component_id"),
+                                             F.lit(None).cast("bigint").alias("group"))
+    return (rows.where("set IS NOT NULL").join(of_set, "set")
+            .select("id", "text_key", "n", "component_id", "group").union(empty))
 
 
 def _set_groups(texts: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:

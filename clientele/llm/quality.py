@@ -140,13 +140,14 @@ def learn_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     return mean.astype(np.float32)
 
 
-def quality_scores(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> DataFrame:
-    """All rows of `docs` with `score`, the probability of label 1, from the whole text alone.
+def quality_scores(docs: DataFrame, weights: np.ndarray, text_col: str = "text",
+                   to: str = "score") -> DataFrame:
+    """All rows of `docs` with `to`, the probability of label 1, from the whole text alone.
 
-    NULL and empty texts have the score of the constant.  A column named `score` is replaced.
+    NULL and empty texts have the score of the constant.  A column of that name is replaced.
     """
     bits = (len(weights) - 1).bit_length() - 1
-    kept = [c for c in docs.columns if c != "score"]
+    kept = [c for c in docs.columns if c != to]
     numbered = docs.select(whole_text(F.col(f"`{text_col}`")).alias("__text"), *[f"`{c}`" for c in kept])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +159,9 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, text_col: str = "text")
                                                   minlength=batch.num_rows)
                 scores = 1 / (1 + np.exp(-np.clip(logit, -35, 35)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())],
-                                                 [*kept, "score"])
+                                                 [*kept, to])
 
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField(to, T.DoubleType())])
     return numbered.mapInArrow(score, schema)
 
 
