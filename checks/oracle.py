@@ -141,7 +141,7 @@ def _history(name: str, source: str, unit: str, days: float) -> dict[str, str]:
     return {
         f"{name}_periods": f"""
             SELECT userId, CAST(date_trunc('{unit}', order_date) AS DATE) AS period,
-              sum(CAST(order_value AS DECIMAL(28,2))) AS amount FROM {source} GROUP BY 1, 2""",
+              sum(CAST(order_value AS DECIMAL(30,10))) AS amount FROM {source} GROUP BY 1, 2""",
         f"{name}_rfm": f"""
             SELECT userId, CAST(n - 1 AS DOUBLE) AS frequency, (latest - earliest) / {days} AS recency,
               ((SELECT max(period) FROM {name}_periods) - earliest) / {days} AS T,

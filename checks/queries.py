@@ -16,7 +16,7 @@ from clientele.operators import cohort, orders, rfm, segments, versions
 from clientele.operators.fitting import Fit, fit_bgnbd, fit_gamma_gamma, fit_pareto_nbd
 from clientele.operators.scoring import discounted_purchases, lifetime_value, predict
 from clientele.plans import datasets, jobs
-from clientele.session import shared_path
+from clientele.session import shared_path, written
 from clientele.sources import models, predictions
 from clientele.streaming import incremental
 
@@ -148,8 +148,7 @@ def training_daily(spark, sf):
 
 
 def _revenue_sql(train: str) -> str:
-    return f"""SELECT userId, CAST(sum(CAST(order_value AS DECIMAL(28,2))) AS DOUBLE)
-               AS current_total_revenue FROM {train} GROUP BY userId ORDER BY userId"""
+    return f"SELECT userId, CAST(sum(CAST(order_value AS DECIMAL(30,10))) AS DOUBLE) AS current_total_revenue FROM {train} GROUP BY userId ORDER BY userId"
 
 
 @register("revenue_weekly", _revenue_sql("train"))
@@ -180,7 +179,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 def _train(spark, sf) -> DataFrame:
     """Training rows, written once for the operators that read them more than once."""
-    return jobs.written(datasets.training_set(fx.ledger(spark, sf), "weekly", fx.AS_OF), "train")
+    return written(datasets.training_set(fx.ledger(spark, sf), "weekly", fx.AS_OF), "train")
 
 
 @register("rfm_month", _RFM_SQL.format("month_rfm"))
@@ -220,7 +219,7 @@ def _customers(spark, sf, mode="weekly"):
     """
     profiles = cohort.customer_profiles(
         datasets.scoped_values(fx.ledger(spark, sf), mode, fx.AS_OF), "M", fx.AS_OF)
-    return datasets.scoring_rows(jobs.written(profiles, "profiles"))
+    return datasets.scoring_rows(written(profiles, "profiles"))
 
 
 @register("scoring_rows", """SELECT userId, frequency, round(recency, 6) AS recency, round(T, 6) AS T,
@@ -330,7 +329,7 @@ def segmented_daily(spark, sf):
 
 @register("segmented_scores", sql.segmented("month_predicted"))
 def segmented_scores(spark, sf):
-    return segments.segment(predict(_customers(spark, sf), BG, GG))
+    return segments.segment(written(predict(_customers(spark, sf), BG, GG), "scored"))
 
 
 # Registry, exports, published table
@@ -392,7 +391,7 @@ def _fitted(spark, result: Fit) -> DataFrame:
 def _fits(name: str, fit) -> None:
     @register(name)
     def fitted(spark, sf):
-        customers = jobs.written(_customers(spark, sf), "histories")
+        customers = written(_customers(spark, sf), "histories")
         return _fitted(spark, fit(customers, CFG.penalizer))
 
 

@@ -45,4 +45,7 @@ class ScoringConfig:
     min_orders: int = 2
     min_recent_orders: int = 1
     returns: str = "per_date"
-    quantile_accuracy: int = 10_000
+    # Size that a ledger table counts as when its source cannot tell it.
+    unknown_bytes: int = 0
+    # Save and publish models whose fit did not converge.
+    allow_unconverged: bool = False

@@ -22,9 +22,9 @@ def half_even(value: Column, digits: int = 2) -> Column:
     return F.rint(value * scale) / scale
 
 
-def cents(value: Column) -> Column:
-    """Money as an exact decimal, so that sums do not depend on their order."""
-    return value.cast("decimal(28,2)")
+def exact(value: Column) -> Column:
+    """Money as a decimal of ten digits after the point, so that sums do not depend on their order."""
+    return value.cast("decimal(38,10)")
 
 
 def net_amount(amount: Column, discount: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import ScoringConfig
 from clientele.functions.dates import as_date, months_before, period_start
-from clientele.functions.money import cents
+from clientele.functions.money import exact
 from clientele.operators.joins import salted_semi_join
 
 _DEFAULT = ScoringConfig()
@@ -85,7 +85,7 @@ def training_rows(values: DataFrame, as_of: dt.date | None = None,
 def customer_revenue(train: DataFrame, ordered: bool = False) -> DataFrame:
     """Past revenue per customer, summed exactly."""
     revenue = train.groupBy("userId").agg(
-        F.sum(cents(F.col("order_value"))).cast("double").alias("current_total_revenue"))
+        F.sum(exact(F.col("order_value"))).cast("double").alias("current_total_revenue"))
     return revenue.orderBy("userId") if ordered else revenue
 
 
@@ -97,11 +97,13 @@ def customer_profiles(values: DataFrame, frequency: str = "M", as_of: dt.date |
     revenue and the purchase history at once.  Both combine on the map side, and
     the first spreads a heavy customer over its periods.
     """
-    worth = F.when(trainable(), cents(F.col("order_value")))
+    worth = F.when(trainable(), exact(F.col("order_value")))
+    # Orders without a date do not count towards eligibility.
+    dated = F.when(F.col("order_date").isNotNull(), F.col("copies")).otherwise(0)
     by_period = (
         distinct_orders(values.where(countable() & F.col("userId").isNotNull()))
         .groupBy("userId", period_start(F.col("order_date"), frequency).alias("period"))
-        .agg(F.sum("copies").alias("orders"),
+        .agg(F.sum(dated).alias("orders"),
              F.sum(F.when(recent(as_of, cfg), F.col("copies")).otherwise(0)).alias("recent_orders"),
              F.sum(worth).alias("amount")))
     bought = F.when(F.col("amount").isNotNull(), F.col("period"))

@@ -27,6 +27,8 @@ _STEP = 1e-3
 _SEARCH = (4.0, 2.0, 0.5, 0.25, 0.1, 0.03, 0.01)
 _MAX_STEPS = 100
 _TOLERANCE = 1e-8
+# Largest slope, in log-parameters and relative to the objective, of a converged fit.
+_LEVEL = 1e-5
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,11 @@ class Fit:
     steps: int
     converged: bool
 
+    def require_convergence(self) -> Fit:
+        if not self.converged:
+            raise ArithmeticError(f"the fit of {self.model} did not converge in {self.steps} steps")
+        return self
+
 
 def purchase_model(model_type: str):
     """Model class by type tag; an unknown tag is an error."""
@@ -162,8 +169,9 @@ def _newton(objective, theta: np.ndarray) -> tuple[np.ndarray, int, bool]:
         move = -axes @ ((axes.T @ gradient) / curvature)
         move *= min(1.0, 2.0 / max(np.abs(move).max(), 1e-300))
         enough = _TOLERANCE * max(1.0, abs(values[0]))
+        level = np.abs(gradient).max() <= _LEVEL * max(1.0, abs(values[0]))
         if -gradient @ move < 1e-3 * enough:
-            return theta, step, True
+            return theta, step, bool(level)
         full = _stencil(theta + move)
         tried = objective(full + [theta + s * move for s in _SEARCH])
         there, others = tried[:len(full)], tried[len(full):]
@@ -175,8 +183,8 @@ def _newton(objective, theta: np.ndarray) -> tuple[np.ndarray, int, bool]:
             theta = theta + _SEARCH[best] * move
             values = objective(_stencil(theta))
         else:
-            return theta, step, True
-        if before - values[0] < enough:
+            return theta, step, bool(level)
+        if before - values[0] < enough and level:
             return theta, step, True
     return theta, _MAX_STEPS, False
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clientele.functions.money import in_base_currency, net_amount, net_of_return
 from clientele.operators.joins import salted_semi_join
 from clientele.operators.versions import ORDER, RETURN, version_second, wanted_seconds
+from clientele.session import written
 
 
 def counted_item(item: str = "ItemId") -> Column:
@@ -42,15 +43,13 @@ def movements(lines: DataFrame, documents: DataFrame,
 
     Orders and returns share every scan and shuffle: a line has one role by its
     sign, and the role is part of the join keys.  ``customers`` (a distinct
-    ``userId`` column) keeps only what can matter to those customers' orders,
-    before the lines are shuffled.
+    ``userId`` column, written) keeps only what can matter to those customers' orders;
+    it is found by a few small jobs at once, before the lines are shuffled.
     """
-    heads = current_documents(documents)
-    candidates, versioned = signed_lines(lines), lines
-    if customers is not None:
-        candidates = _lines_of(candidates, heads, customers)
-        versioned = salted_semi_join(lines.select("Id", "__ts_ms"),
-                                     candidates.select("Id").distinct(), ["Id"], ["__ts_ms"])
+    if customers is None:
+        heads, candidates, versioned = current_documents(documents), signed_lines(lines), lines
+    else:
+        heads, candidates, versioned = _of_customers(lines, documents, customers)
     wanted = wanted_seconds(versioned, "Id")
     chosen = (candidates
               .join(wanted, (F.col("Id") == F.col("_key")) & (F.col("role") == F.col("_role"))
@@ -71,17 +70,37 @@ def movements(lines: DataFrame, documents: DataFrame,
                  F.max("role").alias("kind")))
 
 
-def _lines_of(candidates: DataFrame, heads: DataFrame, customers: DataFrame) -> DataFrame:
-    """Lines on the customers' order documents, and return lines against those orders."""
-    theirs = salted_semi_join(heads.where(F.col("role") == ORDER), customers,
-                              ["userId"], ["OrderId"])
+def _of_customers(lines: DataFrame, documents: DataFrame,
+                  customers: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Document heads, candidate lines and line versions that matter to some customers' orders.
+
+    Each narrowing is a small table written once, so that the next step scans the ledger for
+    its keys alone: the lines twice (candidates, versions of their ids), the documents four times.
+    All versions of a key that is kept are kept, so the versions chosen are the same.
+    """
+    named = written(documents.select("OrderId", F.col("BillToEmail").alias("userId"))
+                    .join(customers, "userId", "left_semi")
+                    .where(F.col("OrderId").isNotNull()).select("OrderId").distinct(), "named-orders")
+    heads = written(current_documents(documents.join(named, "OrderId", "left_semi")), "order-heads")
+    theirs = heads.where(F.col("role") == ORDER).join(customers, "userId", "left_semi")
+    # Lines on the orders' documents, and return lines against those orders.
     links = F.array(
         F.struct(F.lit(ORDER).alias("role"), F.col("DocumentId").alias("link")),
         F.struct(F.lit(RETURN).alias("role"), F.col("OrderId").alias("link")))
-    keys = theirs.select(F.inline(links)).distinct()
+    keys = written(theirs.select(F.inline(links)).distinct(), "line-links")
     link = F.when(F.col("role") == ORDER, F.col("DocumentId")).otherwise(F.col("SalesOrderId"))
-    return (salted_semi_join(candidates.withColumn("link", link), keys,
-                             ["role", "link"], ["Id", "second"]).drop("link"))
+    candidates = written(signed_lines(lines).withColumn("link", link)
+                         .join(keys, ["role", "link"], "left_semi").drop("link"), "candidate-lines")
+    ids = written(candidates.select("Id").distinct(), "candidate-ids")
+    versioned = lines.select("Id", "__ts_ms").join(ids, "Id", "left_semi")
+    # The documents of the returns name other orders than the ones returned.
+    credit = written(candidates.where(F.col("role") == RETURN).select(F.col("DocumentId").alias("Id"))
+                     .distinct(), "credit-ids")
+    credited = written(documents.join(credit, "Id", "left_semi").where(F.col("OrderId").isNotNull())
+                       .select("OrderId").distinct(), "credit-orders")
+    credits = current_documents(documents.join(credited, "OrderId", "left_semi"))
+    heads = heads.where(F.col("role") == ORDER).union(credits.where(F.col("role") == RETURN))
+    return heads, candidates, versioned
 
 
 def local_orders(moves: DataFrame) -> DataFrame:
@@ -132,6 +151,8 @@ def net_orders(orders: DataFrame, returns: DataFrame, mode: str = "per_date") ->
 def order_values(lines: DataFrame, documents: DataFrame, rates: DataFrame,
                  returns: str = "per_date", customers: DataFrame | None = None) -> DataFrame:
     """Net value of every order in base currency: (OrderId, userId, order_date, order_value)."""
+    if customers is not None:
+        customers = written(customers, "customers")
     # A return without an order never matches.  Said here for both branches, because
     # Spark would infer it for the return branch alone and so split the shared plan.
     moves = movements(lines, documents, customers).where(F.col("order_key").isNotNull())

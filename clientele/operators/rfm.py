@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import DAYS_PER_PERIOD, check_frequency
 from clientele.functions.dates import period_start
-from clientele.functions.money import cents
+from clientele.functions.money import exact
 
 
 def purchase_periods(train: DataFrame, frequency: str = "M",
@@ -22,7 +22,7 @@ def purchase_periods(train: DataFrame, frequency: str = "M",
     if observation_end is not None:
         train = train.where(period <= period_start(F.lit(observation_end), frequency))
     return (train.groupBy("userId", period.alias("period"))
-            .agg(F.sum(cents(F.col("order_value"))).alias("amount"))
+            .agg(F.sum(exact(F.col("order_value"))).alias("amount"))
             .groupBy("userId")
             .agg(F.count(F.lit(1)).alias("periods"),
                  F.min("period").alias("first_period"),

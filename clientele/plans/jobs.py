@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,27 +13,17 @@ from clientele.functions.dates import today
 from clientele.operators.cohort import customer_profiles
 from clientele.operators.fitting import fit, fit_gamma_gamma, purchase_model
 from clientele.operators.scoring import predict
-from clientele.operators.segments import merge_and_segment, segment
+from clientele.operators.segments import COLUMNS, merged_predictions, segment
 from clientele.plans.datasets import scoped_values, scoring_rows
 from clientele.schemas import PREDICTION
-from clientele.session import configure, shared_path, size_shuffles
+from clientele.session import configure, intermediates, sized_shuffles, written
 from clientele.sources.ledger import Ledger
 from clientele.sources.models import latest_models, read_models, save_models
-from clientele.sources.predictions import PredictionTable, read_staged, stage
+from clientele.sources.predictions import (
+    PredictionTable, export_name, read_staged, stage, write_csv)
 
 _DEFAULT = ScoringConfig()
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder.
-
-    Cuts the lineage for good: later jobs, and executors that replace lost ones,
-    read the table instead of the ledger.
-    """
-    spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+_LOG = logging.getLogger(__name__)
 
 
 def business_day(spark: SparkSession, as_of: dt.date | None, cfg: ScoringConfig) -> dt.date:
@@ -43,12 +34,18 @@ def business_day(spark: SparkSession, as_of: dt.date | None, cfg: ScoringConfig)
 
 
 def refresh(table: PredictionTable, new: DataFrame, mode: str, version: str,
-            accuracy: int = _DEFAULT.quantile_accuracy) -> int:
-    """Publish a new version: replaced by ``new`` (weekly) or merged with it (daily)."""
+            view: str | None = None) -> int:
+    """Publish a new version: replaced by ``new`` (weekly) or merged with it (daily).
+
+    Rows are written before they are labelled, so that the cuts and the labels read the
+    written rows.  A daily refresh fails if another one was published since it read the table.
+    """
+    _, base = table.newest()
     if mode == "weekly":
-        return table.publish(segment(new, accuracy), version)
+        return table.publish(segment(written(new.select(*COLUMNS), "scored")), version, view=view)
     if mode == "daily":
-        return table.publish(merge_and_segment(table.current(), new, accuracy), version)
+        merged = written(merged_predictions(table.current(), new), "merged")
+        return table.publish(segment(merged), version, base, view)
     raise ValueError(f"mode must be weekly or daily, not {mode!r}")
 
 
@@ -58,54 +55,72 @@ def _version(mode: str, day: dt.date) -> str:
 
 def run_weekly(spark: SparkSession, ledger: Ledger, registry: str, table: PredictionTable,
                staging: str, cfg: ScoringConfig = _DEFAULT, as_of: dt.date | None = None,
-               observation_end: dt.date | None = None) -> DataFrame:
+               observation_end: dt.date | None = None, view: str | None = None) -> DataFrame:
     """Fit both models on all eligible customers, score them, and replace the table.
 
-    Returns the scored batch.  Without customers nothing is written.
+    Returns the scored batch.  Without customers nothing is written.  When a fit does not
+    converge it raises, before anything is saved, unless the configuration allows that.
     """
     day = business_day(configure(spark), as_of, cfg)
-    size_shuffles(spark, ledger.lines, ledger.documents)
-    profiles = written(customer_profiles(scoped_values(ledger, "weekly", day, cfg),
-                                         cfg.frequency, day, cfg), "profiles")
-    customers = written(scoring_rows(profiles, cfg, observation_end), "histories")
-    if customers.isEmpty():
-        return spark.createDataFrame([], PREDICTION)
-    purchases = fit(purchase_model(cfg.model_type), customers, cfg.penalizer)
-    value = fit_gamma_gamma(customers, cfg.penalizer)
-    save_models(spark, registry, [purchases, value], day, cfg.frequency, cfg.penalizer,
-                cfg.model_prefix)
-    stage(predict(customers, purchases.model, value.model, cfg), staging)
-    new = read_staged(spark, staging)
-    refresh(table, new, "weekly", _version("weekly", day), cfg.quantile_accuracy)
-    return new
+    with (sized_shuffles(spark, ledger.lines, ledger.documents, unknown=cfg.unknown_bytes),
+          intermediates(spark)):
+        profiles = written(customer_profiles(scoped_values(ledger, "weekly", day, cfg),
+                                             cfg.frequency, day, cfg), "profiles")
+        customers = written(scoring_rows(profiles, cfg, observation_end), "histories")
+        if customers.isEmpty():
+            return spark.createDataFrame([], PREDICTION)
+        fits = [fit(purchase_model(cfg.model_type), customers, cfg.penalizer),
+                fit_gamma_gamma(customers, cfg.penalizer)]
+        if not cfg.allow_unconverged:
+            for one in fits:
+                one.require_convergence()
+        save_models(spark, registry, fits, day, cfg.frequency, cfg.penalizer, cfg.model_prefix)
+        version = _version("weekly", day)
+        new = _staged(spark, predict(customers, fits[0].model, fits[1].model, cfg), staging, version)
+        refresh(table, new, "weekly", version, view)
+        return new
 
 
 def run_daily(spark: SparkSession, ledger: Ledger, registry: str, table: PredictionTable,
               staging: str, cfg: ScoringConfig = _DEFAULT, as_of: dt.date | None = None,
-              observation_end: dt.date | None = None,
-              model_type: str | None = None) -> DataFrame:
+              observation_end: dt.date | None = None, model_type: str | None = None,
+              export: str | None = None, view: str | None = None) -> DataFrame:
     """Score the recently changed customers with the newest models and merge them in.
 
-    Returns the scored batch.  Without changed customers nothing is written.
+    Returns the scored batch.  Without changed customers nothing is written.  ``export`` names a
+    folder that also gets the batch as a date-stamped CSV.
     """
     day = business_day(configure(spark), as_of, cfg)
-    size_shuffles(spark, ledger.lines, ledger.documents)
-    profiles = written(customer_profiles(scoped_values(ledger, "daily", day, cfg),
-                                         cfg.frequency, day, cfg), "profiles")
-    return score_and_merge(spark, profiles, registry, table, staging, _version("daily", day), cfg,
-                           observation_end, model_type)
+    with (sized_shuffles(spark, ledger.lines, ledger.documents, unknown=cfg.unknown_bytes),
+          intermediates(spark)):
+        profiles = written(customer_profiles(scoped_values(ledger, "daily", day, cfg),
+                                             cfg.frequency, day, cfg), "profiles")
+        new = score_and_merge(spark, profiles, registry, table, staging, _version("daily", day),
+                              cfg, observation_end, model_type, view)
+        if export is not None and not new.isEmpty():
+            rows = write_csv(new, f"{export.rstrip('/')}/{export_name(day)}")
+            _LOG.info("exported %d rows", rows)
+        return new
+
+
+def _staged(spark: SparkSession, scored: DataFrame, staging: str, version: str) -> DataFrame:
+    """The batch in a staging folder of its own, so that no other job writes to it."""
+    path = f"{staging.rstrip('/')}/{version}"
+    rows = stage(scored, path)
+    _LOG.info("staged %d rows for %s", rows, version)
+    return read_staged(spark, path)
 
 
 def score_and_merge(spark: SparkSession, profiles: DataFrame, registry: str,
                     table: PredictionTable, staging: str, version: str,
                     cfg: ScoringConfig = _DEFAULT, observation_end: dt.date | None = None,
-                    model_type: str | None = None) -> DataFrame:
+                    model_type: str | None = None, view: str | None = None) -> DataFrame:
     """Score these profiles with the newest models, stage them, and merge them into the table."""
     customers = scoring_rows(profiles, cfg, observation_end)
     if customers.isEmpty():
         return spark.createDataFrame([], PREDICTION)
-    purchases, value = latest_models(read_models(spark, registry), cfg.model_prefix, model_type)
-    stage(predict(customers, purchases, value, cfg), staging)
-    new = read_staged(spark, staging)
-    refresh(table, new, "daily", version, cfg.quantile_accuracy)
+    purchases, value = latest_models(read_models(spark, registry), cfg.model_prefix, model_type,
+                                     cfg.frequency)
+    new = _staged(spark, predict(customers, purchases, value, cfg), staging, version)
+    refresh(table, new, "daily", version, view)
     return new

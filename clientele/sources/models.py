@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.config import BGNBD, GAMMA_GAMMA, PARETO
+from clientele.config import BGNBD, GAMMA_GAMMA, PARETO, check_frequency
 from clientele.functions.dates import embedded_date
 from clientele.operators.bgnbd import BgNbd
 from clientele.operators.fitting import Fit
@@ -25,13 +25,13 @@ def model_name(prefix: str, model_type: str, fitted_on: dt.date) -> str:
 def save_models(spark: SparkSession, path: str, fits: list[Fit], fitted_on: dt.date,
                 frequency: str = "M", penalizer: float = 0.0,
                 prefix: str = "clv_model") -> None:
-    """Add fitted models to the registry; a model of the same type and day is replaced."""
+    """Add fitted models to the registry; a model of the same name is replaced."""
     rows = [(model_name(prefix, f.model.type_tag, fitted_on), frequency,
              {k: float(v) for k, v in vars(f.model).items()}, float(penalizer), f.n_customers,
              float(f.log_likelihood), f.steps, f.converged, fitted_on, f.model.type_tag)
             for f in fits]
     (spark.createDataFrame(rows, MODEL).coalesce(1).write
-     .partitionBy("fitted_on", "model_type")
+     .partitionBy("fitted_on", "model_type", "model_name")
      .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path))
 
 
@@ -60,20 +60,27 @@ def newest_models(names: DataFrame, column: str = "file") -> DataFrame:
 
 
 def latest_models(models: DataFrame, prefix: str = "clv_model",
-                  model_type: str | None = None) -> tuple[BgNbd | ParetoNbd, GammaGamma]:
+                  model_type: str | None = None,
+                  frequency: str | None = None) -> tuple[BgNbd | ParetoNbd, GammaGamma]:
     """Purchase and value model of the newest date in the registry.
 
+    With ``frequency`` only models that were fitted to periods of that length count.
+
     When both purchase models share that date the later name wins, unless
     ``model_type`` says which one to take.
     """
-    newest = newest_models(with_prefix(models, prefix, column="model_name"), "model_name")
+    named = with_prefix(models, prefix, column="model_name")
+    if frequency is not None:
+        named = named.where(F.col("frequency") == check_frequency(frequency))
+    newest = newest_models(named, "model_name")
     by_type = {row["model_type"]: row for row in newest
                .groupBy("model_type").agg(F.max_by("params", "model_name").alias("params"),
                                           F.max("model_name").alias("model_name")).collect()}
     wanted = [model_type] if model_type else [BGNBD, PARETO]
     found = [by_type[t] for t in wanted if t in by_type]
     if not found or GAMMA_GAMMA not in by_type:
-        raise LookupError(f"no complete set of models named {prefix}* in the registry")
+        periods = f" for frequency {frequency}" if frequency else ""
+        raise LookupError(f"no complete set of models named {prefix}*{periods} in the registry")
     purchase = max(found, key=lambda row: row["model_name"])
     return (_FAMILIES[purchase["model_type"]](**purchase["params"]),
             GammaGamma(**by_type[GAMMA_GAMMA]["params"]))

@@ -16,9 +16,14 @@ _COMMIT = T.StructType([
     T.StructField("version", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("published_at", T.TimestampType()),
+    T.StructField("number", T.LongType()),
 ])
 
 
+class StaleBase(RuntimeError):
+    """Another refresh was published since this one read the table."""
+
+
 def export_name(as_of: dt.date, prefix: str = "daily_predictions") -> str:
     """Date-stamped name of an export."""
     return f"{prefix}_{as_of:%Y%m%d}"
@@ -60,7 +65,7 @@ class PredictionTable:
     """The segmented table, as immutable versions and a log of published ones.
 
     A refresh may read the table it replaces: it writes a new version beside the
-    old one, and the row appended to the log is the switch.  A version whose job
+    old one, and the row added to the log is the switch.  A version whose job
     died before that is never seen.
     """
 
@@ -70,9 +75,9 @@ class PredictionTable:
         self._log = f"{root.rstrip('/')}/log"
 
     def published(self) -> DataFrame:
-        """The log: (version, rows, published_at)."""
+        """The log: (version, rows, published_at, number), numbered in order of publication."""
         try:
-            return self.spark.read.schema(_COMMIT).parquet(self._log)
+            return self.spark.read.schema(_COMMIT).parquet(f"{self._log}/*")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -81,20 +86,43 @@ class PredictionTable:
     def has(self, version: str) -> bool:
         return not self.published().where(F.col("version") == version).isEmpty()
 
+    def newest(self) -> tuple[str | None, int]:
+        """Name and number of the newest published version; (None, 0) before the first one."""
+        version, number = self.published().agg(F.max_by("version", "number"), F.max("number")).first()
+        return version, number or 0
+
     def current(self) -> DataFrame:
         """The newest published version; empty before the first one."""
-        newest = self.published().agg(F.max_by("version", "published_at")).first()[0]
+        newest, _ = self.newest()
         if newest is None:
             return self.spark.createDataFrame([], SEGMENTED)
         return self.spark.read.schema(SEGMENTED).parquet(f"{self._versions}/{newest}")
 
-    def publish(self, segmented: DataFrame, version: str) -> int:
-        """Write a version clustered by customer and switch to it.  Returns the row count."""
+    def publish(self, segmented: DataFrame, version: str, base: int | None = None,
+                view: str | None = None) -> int:
+        """Write a version clustered by customer and switch to it.  Returns the row count.
+
+        ``base`` is the number of the version that the rows derive from; if another one has been
+        published since, nothing is switched and StaleBase is raised.  Each number is a
+        folder of the log, so of two publishers of one number the second fails.  ``view`` names a
+        session view that is then set to the new version.
+        """
+        number = self._next(base)
         clustered = segmented.repartitionByRange("userId").sortWithinPartitions("userId")
         rows = counted(clustered, lambda df: df.write.mode("overwrite")
                        .parquet(f"{self._versions}/{version}"))
+        if self._next(base) != number:
+            raise StaleBase(f"{version} was made from a table that is no longer the current one")
         (self.spark.range(1)
          .select(F.lit(version).alias("version"), F.lit(rows).cast("long").alias("rows"),
-                 F.current_timestamp().alias("published_at"))
-         .write.mode("append").parquet(self._log))
+                 F.current_timestamp().alias("published_at"), F.lit(number).cast("long").alias("number"))
+         .write.mode("error").parquet(f"{self._log}/{number:010d}"))
+        if view is not None:
+            self.current().createOrReplaceTempView(view)
         return rows
+
+    def _next(self, base: int | None) -> int:
+        _, number = self.newest()
+        if base is not None and number != base:
+            raise StaleBase(f"the table is at version {number}, not at {base}")
+        return number + 1

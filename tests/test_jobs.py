@@ -14,7 +14,7 @@ from clientele.operators.rfm import rfm_summary
 from clientele.operators.scoring import predict
 from clientele.operators.segments import segment
 from clientele.plans import datasets, jobs
-from clientele.session import input_bytes, size_shuffles
+from clientele.session import input_bytes, intermediates, sized_shuffles, written
 from clientele.sources.ledger import read_ledger
 from clientele.sources.models import read_models, save_models
 from clientele.sources.predictions import PredictionTable
@@ -98,8 +98,36 @@ def test_stream_equals_batch_and_replays_safely(spark, book, place):
     assert rows(table.current().select(expected.columns)) == rows(expected)
     versions = rows(table.published().select("version"))
     assert len(versions) == 2
-    run("again")  # a lost checkpoint replays all batches
+    run("first")  # nothing new
     assert rows(table.published().select("version")) == versions
+    # A lost checkpoint scores all batches again, with the same result.
+    run("again")
+    assert rows(table.current().select(expected.columns)) == rows(expected)
+
+
+def test_stream_with_a_new_checkpoint_loses_nothing(spark, book, place):
+    """A second file arrives, and the stream starts over with another checkpoint and batch size."""
+    for name, df in zip(("lines", "rates"), (book.lines, book.rates)):
+        df.write.parquet(place(name))
+    save_models(spark, place("models"), [Fit(BG, 0, 0.0, 0, True), Fit(GG, 0, 0.0, 0, True)], AS_OF)
+    table = PredictionTable(spark, place("table"))
+
+    def opened():
+        return read_ledger(spark, place("lines"), place("documents"), place("rates"))
+
+    def run(progress):
+        start_scoring(document_stream(spark, place("documents")), opened, place("models"), table,
+                      place("staging"), place(progress), as_of=AS_OF, observation_end=END).awaitTermination()
+
+    book.documents.where("OrderId % 2 = 0").coalesce(1).write.mode("append").parquet(place("documents"))
+    run("first")
+    few = rows(table.current())
+    book.documents.where("OrderId % 2 = 1").coalesce(1).write.mode("append").parquet(place("documents"))
+    run("second")
+    expected = predict(datasets.scoring_rows(customer_profiles(order_values(*book), "M", AS_OF),
+                                             observation_end=END), BG, GG)
+    assert few != rows(table.current())
+    assert rows(table.current().select(expected.columns)) == rows(expected)
 
 
 def test_daily_training_equals_weekly_for_the_changed(spark, book):
@@ -135,7 +163,52 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
     # Rows from Python have no known size.
     assert input_bytes(spark.createDataFrame([(1,)], "x int")) < 10_000_000
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert size_shuffles(spark, df) == configured
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    with sized_shuffles(spark, df) as partitions:
+        assert partitions == configured
     # A plain range claims the size of its rows, here some 100 TB.
-    assert size_shuffles(spark, spark.range(12_500_000_000_000)) == 100_000
-    assert size_shuffles(spark, df) == configured
+    with sized_shuffles(spark, spark.range(12_500_000_000_000)) as partitions:
+        assert partitions == 186_265 and spark.conf.get(key) == "186265"
+    assert spark.conf.get(key, None) == before
+    unknown = spark.createDataFrame([(1,)], "x int")
+    with sized_shuffles(spark, unknown, unknown=100 * 512 * 1024 ** 2) as partitions:
+        assert partitions in (configured, 100)
+
+
+def test_jobs_leave_the_session_as_it_was(spark, book, place):
+    table = PredictionTable(spark, place("table"))
+    jobs.run_weekly(spark, book, place("models"), table, place("staging"), as_of=AS_OF)
+    before = dict(spark.sparkContext.getConf().getAll()), spark.sql("SET").collect()
+    jobs.run_daily(spark, book, place("models"), table, place("staging"), as_of=AS_OF,
+                   observation_end=END, export=place("exports"), view="scores")
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.sql("SET").collect()) == before
+    exported = spark.read.option("header", True).csv(place("exports") + "/daily_predictions_20240615")
+    assert rows(exported.select("userId")) == [("c3",), ("c5",)]
+    assert spark.table("scores").count() == 12
+
+
+def test_intermediates_go_with_the_job(spark):
+    with intermediates(spark):
+        path = written(spark.range(3), "gone").inputFiles()[0].rpartition("/")[0]
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_unconverged_models_are_not_published(spark, place):
+    """Five equal customers leave the value model without an optimum."""
+    lines, documents, rates, key = [], [], [], 0
+    for c in range(5):
+        for month in (1, 3, 5):
+            key += 1
+            day = f"2024-{month:02d}-10"
+            lines.append(line(key, key, 100, day))
+            documents.append(document(key, f"c{c}", day))
+            rates.append(rate(day))
+    same = ledger(spark, lines, documents, sorted(set(rates)))
+    table = PredictionTable(spark, place("table"))
+    with pytest.raises(ArithmeticError, match="converge"):
+        jobs.run_weekly(spark, same, place("models"), table, place("staging"),
+                        ScoringConfig(penalizer=0.0), AS_OF)
+    assert table.published().isEmpty()

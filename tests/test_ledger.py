@@ -161,6 +161,32 @@ def test_profiles_equal_the_composed_operators(cohort_values, frequency):
     assert rows(profiles) == rows(composed.select(profiles.columns))
 
 
+@pytest.mark.parametrize("frequency", ["D", "W", "M"])
+def test_orders_without_a_date_do_not_count(spark, frequency):
+    from clientele.operators.rfm import purchase_periods
+    dated = _orders(spark, [(1, "a", "2024-01-01", 5.0), (3, "b", "2024-01-01", 5.0),
+                            (4, "b", "2024-02-01", 5.0)])
+    values = dated.union(spark.createDataFrame([(2, "a", None, 7.0)], dated.schema))
+    train = cohort.training_rows(values, AS_OF)
+    profiles = cohort.customer_profiles(values, frequency, AS_OF)
+    assert {r["userId"] for r in train.collect()} == {"b"}
+    assert rows(profiles) == rows(purchase_periods(train, frequency).select(profiles.columns))
+
+
+def test_values_below_a_cent_are_kept(spark):
+    from clientele.operators.rfm import repeat_buyers, rfm_summary
+    values = _orders(spark, [(i, "a", f"2024-0{i}-01", 0.004) for i in (1, 2, 3)]
+                     + [(9, "b", "2024-01-01", 0.0149), (10, "b", "2024-02-01", 0.0149)])
+    train = cohort.training_rows(values, AS_OF)
+    scored = {r["userId"]: r for r in repeat_buyers(rfm_summary(train, "M")).collect()}
+    assert scored["a"]["monetary_value"] == pytest.approx(0.004)
+    assert scored["b"]["monetary_value"] == pytest.approx(0.0149)
+    revenue = {r["userId"]: r["current_total_revenue"] for r in cohort.customer_revenue(train).collect()}
+    assert revenue == {"a": pytest.approx(0.012), "b": pytest.approx(0.0298)}
+    profiles = {r["userId"]: float(r["revenue"]) for r in cohort.customer_profiles(values, "M", AS_OF).collect()}
+    assert profiles == revenue
+
+
 def test_changed_customers(spark):
     day = AS_OF - dt.timedelta(days=1)
     docs = [document(1, "yesterday", "2020-01-01", changed=day), document(2, "today", AS_OF),

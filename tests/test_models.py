@@ -199,3 +199,29 @@ def test_equal_histories_are_weighted(spark):
 def test_nothing_to_fit(spark):
     with pytest.raises(ValueError):
         fit_bgnbd(spark.createDataFrame([], "frequency double, recency double, T double"))
+
+
+@pytest.mark.parametrize("z", [0.9, 0.9999, 0.999999])
+def test_hypergeometric_tail_close_to_one(z):
+    """Against the defining series, summed until nothing is left to add."""
+    upper, lower, c = 2.976, -0.207, 4.219
+    term = upper / c * z
+    terms, n = [term], 1
+    while abs(term) > 1e-19:
+        term *= (upper + n) * (lower + n) / (n + 1.0) / (c + n) * z
+        terms.append(term)
+        n += 1
+    assert hyp2f1_tail(upper, lower, np.array([c]), np.array([z]))[0] == pytest.approx(math.fsum(terms), rel=1e-12)
+
+
+def test_hypergeometric_values_do_not_depend_on_their_neighbours():
+    c, z = np.array([2.2, 3.0, 50.0, 900.0]), np.array([0.1, 0.6, 0.9999, 0.99])
+    alone = [hyp2f1_tail(3.0, -0.2, c[i:i + 1], z[i:i + 1])[0] for i in range(4)]
+    assert hyp2f1_tail(3.0, -0.2, c, z).tolist() == alone
+    alone = [hyp2f1_one(c[i:i + 1] / 2, c[i:i + 1], z[i:i + 1])[0] for i in range(4)]
+    assert hyp2f1_one(c / 2, c, z).tolist() == alone
+
+
+def test_hypergeometric_fraction_says_when_it_cannot_reach_its_tolerance():
+    with pytest.raises(ArithmeticError):
+        hyp2f1_one(np.array([1.5]), np.array([2.5]), np.array([1.0 - 1e-16]))

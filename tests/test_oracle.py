@@ -1,4 +1,4 @@
-"""Registered queries give the rows that their SQL gives (all of them: checks.compare)."""
+"""Registered queries give the rows that their SQL gives."""
 
 import pytest
 
@@ -6,22 +6,11 @@ from checks.compare import database, differences
 from checks.queries import ORACLES
 from conftest import SF_DIR
 
-# The jobs have tests of their own.  Of queries that share most of their work a few stand
-# for all here; `python -m checks.compare` runs every one.
-SLOW = {
-    "run_daily", "stream_scoring", "order_revenue_local", "order_revenue_base", "returns_local",
-    "returns_base", "cohort_counts", "eligible_customers", "training_newest_first",
-    "revenue_from_training", "rfm_filtered", "rfm_week", "scoring_rows", "p_alive_bgnbd",
-    "expected_purchases_bgnbd", "p_alive_pareto", "expected_average_value", "discounted_purchases",
-    "lifetime_value", "log_likelihood_bgnbd", "log_likelihood_gamma_gamma", "segmented_scores",
-}
-
-
 @pytest.fixture(scope="module")
 def con():
     return database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", [n for n in ORACLES if n not in SLOW])
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_same_rows(spark, con, name):
     assert differences(spark, con, name, SF_DIR) is None

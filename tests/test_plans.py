@@ -42,6 +42,16 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "IsNotNull(ItemId)" in pushed and "AmountWithoutVat" in pushed
 
 
+@pytest.mark.parametrize("name", ["training_daily", "revenue_daily"])
+def test_daily_sets_scan_the_lines_once_more_at_most(spark, name):
+    """Candidate lines are a table of their own by then; only the versions of their ids are read."""
+    whole = QUERIES[name](spark, SF_DIR)
+    whole.collect()
+    text = _plan(whole)
+    for plan in (text.split("== Initial Plan ==")[0], text.split("== Initial Plan ==")[-1]):
+        assert len(re.findall(r"FileScan parquet \[l_", plan)) <= 2
+
+
 def test_small_rate_table_is_broadcast(spark, tmp_path):
     from checks import fixtures
     from clientele.operators import orders

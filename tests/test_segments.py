@@ -14,7 +14,7 @@ from clientele.operators.segments import (
     clv_percentiles, clv_quantiles, merge_and_segment, merged_predictions, segment)
 from clientele.sources import models
 from clientele.sources.predictions import (
-    PredictionTable, export_name, read_csv, read_staged, stage, write_csv)
+    PredictionTable, StaleBase, export_name, read_csv, read_staged, stage, write_csv)
 
 NAN = float("nan")
 
@@ -50,11 +50,14 @@ def test_percentiles_skip_missing_values(spark):
     assert labels["n"] == labels["m"] == "" and labels["1"] == "Lowest 25% Customers"
 
 
-def test_quantile_error_bound(spark):
-    """Beyond the sketch's exact range the ranks stay within one in ``accuracy``."""
-    df = spark.range(200_000).selectExpr("CAST(id AS STRING) AS userId", "CAST(id AS DOUBLE) AS clv")
-    for share, found in zip((0.25, 0.5, 0.75), clv_percentiles(df, 1000).first()):
-        assert abs(found - share * 200_000) <= 200_000 / 1000 + 1
+@pytest.mark.parametrize("value", ["CAST(id AS DOUBLE)", "CAST(id * 7919 % 300000 AS DOUBLE)",
+                                   "CAST(id % 7 AS DOUBLE)", "IF(id % 3 = 0, 5D, CAST(id * id AS DOUBLE))",
+                                   "-exp(id / 10000D)"])
+def test_percentiles_are_exact_at_any_size(spark, value):
+    df = spark.range(300_000).selectExpr("CAST(id AS STRING) AS userId", f"{value} AS clv")
+    ordered = sorted(r[0] for r in df.select("clv").collect())
+    expected = tuple(ordered[max(1, -(-len(ordered) * p // 100)) - 1] for p in (25, 50, 75))
+    assert tuple(clv_percentiles(df).first()) == expected
 
 
 def test_segmenting_nothing(spark):
@@ -112,6 +115,14 @@ def test_registry(spark, tmp_path):
     assert models.latest_models(registry, model_type="BGNBD") == (BG, GG)
     with pytest.raises(LookupError):
         models.latest_models(registry, prefix="other")
+    # Models of another prefix on the same day are other models.
+    models.save_models(spark, path, [Fit(BG, 9, -1.0, 2, True), Fit(GG, 9, -1.0, 2, True)], later,
+                       frequency="W", prefix="other")
+    assert models.read_models(spark, path).count() == 7
+    assert models.latest_models(models.read_models(spark, path)) == (PARETO, GG)
+    assert models.latest_models(models.read_models(spark, path), "other", frequency="w") == (BG, GG)
+    with pytest.raises(LookupError, match="frequency M"):
+        models.latest_models(models.read_models(spark, path), "other", frequency="M")
 
 
 def test_csv(spark, tmp_path):
@@ -139,6 +150,10 @@ def test_published_table_reads_what_it_replaces(spark, tmp_path, two_sides):
     assert table.publish(merge_and_segment(table.current(), new), "two") == 4
     assert rows(table.current().select("userId", "clv")) == [
         ("A", 1.0), ("B", 20.0), ("C", 30.0), (None, 9.0)]
+    # A refresh of a version that is no longer the current one changes nothing.
+    with pytest.raises(StaleBase):
+        table.publish(segment(new), "late", base=1)
+    assert table.newest() == ("two", 2) and table.current().count() == 4
     # A version that was written but never logged is not seen.
     segment(new).write.parquet(str(tmp_path / "table" / "versions" / "three"))
     assert table.current().count() == 4 and table.has("two") and not table.has("three")
