@@ -37,3 +37,33 @@ def partitions_for(rows: int, per_partition: int, spark: SparkSession) -> int:
     """Enough partitions for so many rows, and never fewer than the session's shuffles have."""
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(configured, -(-rows // per_partition))
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """The name, or one made from it that no column has (Spark does not tell cases apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def joined_by_row(docs: DataFrame, keys: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
+    """Semi or anti join of documents with (id, hash of the text); NULL ids are equal."""
+    id_, text = fresh(docs.columns, "key_id"), fresh(docs.columns, "key_text")
+    keys = keys.select(F.col("id").alias(id_), F.col("text_key").alias(text))
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col(id_)) & (F.xxhash64(f"`{text_col}`") == F.col(text))
+    return docs.join(keys, same, how)
+
+
+def one_row_each(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` whose key is not said to go, and only one of those whose key occurs repeatedly.
+
+    `keys` has a row for each (id, text_key) with `kept` and `rows`.  What goes is the smaller part, so the
+    documents are joined with that; rows equal in id and text are copies, so any of them may stay.
+    """
+    stays = joined_by_row(docs, keys.where("NOT kept"), "left_anti", id_col, text_col)
+    twice = keys.where("kept AND rows > 1")
+    if twice.isEmpty():
+        return stays
+    return joined_by_row(stays, twice, "left_anti", id_col, text_col).unionByName(
+        joined_by_row(stays, twice, "left_semi", id_col, text_col).dropDuplicates([id_col, text_col]))

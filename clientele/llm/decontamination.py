@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.llm.common import whole_text
+from clientele.llm.common import fresh, whole_text
 from clientele.llm.words import WordHasher, bytes_of, ngrams, slices
 
 SEED_WORDS = 3
@@ -199,5 +199,6 @@ def _arrow(kind: T.DataType) -> pa.DataType:
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of `docs`, with all columns, whose id has no copy of a test item."""
-    leaked = find_copies(docs, benchmark, id_col=id_col).select(F.col(id_col).alias("__id")).distinct()
-    return docs.join(leaked, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")), "left_anti")
+    key = fresh(docs.columns, "key_id")
+    leaked = find_copies(docs, benchmark, id_col=id_col).select(F.col(id_col).alias(key)).distinct()
+    return docs.join(leaked, F.col(f"`{id_col}`").eqNullSafe(F.col(key)), "left_anti")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.llm.common import saved, whole_text
+from clientele.llm.common import one_row_each, saved, whole_text
 
 BLOCK_BYTES = 4096
 
@@ -141,18 +141,7 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Rows are found again by id and a hash of the text; rows equal in both are copies anyway.
     """
-    keys = (exact_groups(docs, id_col, text_col).groupBy(F.col(id_col).alias("__id"),
-                                                          F.col("text_key").alias("__text"))
-            .agg(F.count("*").alias("__rows"), F.max("kept").alias("__kept")))
-    keys = saved(keys, "kept-keys")
-    # Most rows stay, so the rows to drop are the smaller list.
-    same = lambda k: F.col(f"`{id_col}`").eqNullSafe(k["__id"]) & (
-        F.xxhash64(f"`{text_col}`") == k["__text"])
-    dropped = keys.where("NOT __kept")
-    stays = docs.join(dropped, same(dropped), "left_anti")
-    twice = keys.where("__kept AND __rows > 1")
-    once = stays.join(twice, same(twice), "left_anti")
-    if twice.isEmpty():
-        return stays
-    again = stays.join(twice, same(twice), "left_semi")
-    return once.unionByName(again.dropDuplicates([id_col, text_col]))
+    keys = (exact_groups(docs, id_col, text_col)
+            .groupBy(F.col(id_col).alias("id"), "text_key")
+            .agg(F.count("*").alias("rows"), F.max("kept").alias("kept")))
+    return one_row_each(docs, saved(keys, "kept-keys"), id_col, text_col)

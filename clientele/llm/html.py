@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.llm.common import whole_text
+from clientele.llm.common import fresh, whole_text
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -224,7 +224,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", to: str = "text") ->
     A column named like `to` is replaced.
     """
     kept = [c for c in pages.columns if c not in (html_col, to)]
-    source = pages.select(whole_text(F.col(f"`{html_col}`")).alias("__page"), *[f"`{c}`" for c in kept])
+    source = pages.select(whole_text(F.col(f"`{html_col}`")).alias(fresh(pages.columns, "page_read")), *[f"`{c}`" for c in kept])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

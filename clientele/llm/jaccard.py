@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.llm.common import partitions_for, saved, whole_text
+from clientele.llm.common import one_row_each, partitions_for, saved, whole_text
 from clientele.llm.words import WordHasher, bytes_of, mixed, ngrams, slices
 
 WORDS = 5
@@ -379,17 +379,8 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keys = (rows.join(keepers, "group")
             .withColumn("kept", F.col("id").eqNullSafe(F.col("keeper.id"))
                         & (F.col("text_key") == F.col("keeper.text_key")))
-            .groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__text"))
-            .agg(F.max("kept").alias("__kept"), F.count("*").alias("__rows")))
-    keys = saved(keys, "jaccard-kept")
-    same = lambda k: F.col(f"`{id_col}`").eqNullSafe(k["__id"]) & (
-        F.xxhash64(f"`{text_col}`") == k["__text"])
-    dropped, twice = keys.where("NOT __kept"), keys.where("__kept AND __rows > 1")
-    stays = docs.join(dropped, same(dropped), "left_anti")
-    if twice.isEmpty():
-        return stays
-    return stays.join(twice, same(twice), "left_anti").unionByName(
-        stays.join(twice, same(twice), "left_semi").dropDuplicates([id_col, text_col]))
+            .groupBy("id", "text_key").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")))
+    return one_row_each(docs, saved(keys, "jaccard-kept"), id_col, text_col)
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:

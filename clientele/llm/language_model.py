@@ -18,9 +18,9 @@ from clientele.llm.packing import END_OF_TEXT, PATTERN, RANKS
 from clientele.llm.words import WordHasher, bytes_of, slices
 
 #: Classes of next words, and symbols of words read; both have a place for the rest.
-CLASSES = 128
+CLASSES = 96
 SYMBOLS = 256
-WIDTH = 32
+WIDTH = 16
 #: Places that a window scores; it reads as many before them.
 BLOCK = 16
 #: Words whose counts go to every task; the others' counts are joined.
@@ -30,7 +30,9 @@ FIT_OF_64 = 8
 ROUNDS = 3
 WINDOWS_PER_PART = 8_000
 BATCH = 32
-RATE = 0.004
+RATE = 0.005
+#: Blocks scored at a time, so that their logits fit a processor's cache.
+CHUNK = 256
 #: Distinct words of which a task remembers the subword ids.
 MEMORY = 200_000
 
@@ -46,40 +48,44 @@ class Subwords:
             base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines.splitlines())})
         self.known: dict[int, int] = {}
 
-    def of(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """first * 65536 + last for each word."""
-        distinct, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes() if len(distinct) else b""
-        known, out = self.known, np.empty(len(distinct), np.int64)
-        for i, (word, k) in enumerate(zip(distinct.tolist(), first.tolist())):
+    def of(self, words: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """first * 65536 + last for each of some distinct words, which lie at these places of the text."""
+        raw = data.tobytes() if len(words) else b""
+        known, out = self.known, np.empty(len(words), np.int64)
+        for i, (word, start, end) in enumerate(zip(words.tolist(), starts.tolist(), ends.tolist())):
             pair = known.get(word)
             if pair is None:
                 if len(known) >= MEMORY:
                     known.clear()
-                text = raw[starts[k]:ends[k]].lower().decode(errors="replace")
-                ids = self.encoding.encode_ordinary(" " + text)
+                ids = self.encoding.encode_ordinary(" " + raw[start:end].lower().decode(errors="replace"))
                 pair = known[word] = ids[0] * 65_536 + ids[-1]
             out[i] = pair
-        return out[place]
+        return out
 
 
 def _read(subwords: Subwords, hasher: WordHasher, batch: pa.RecordBatch):
-    """(hash, pair of ids) of all tokens, the end of each text among them, and how many each text has."""
+    """(distinct words, their pairs of ids, which of them each token is, how many tokens each text has).
+
+    The end of each text is its last token.
+    """
     data, offsets = bytes_of(batch.column(0))
     base = int(offsets[0])
     data, offsets = data[base:int(offsets[-1])], offsets - base
     hashes, owner, starts, ends = hasher.all_words(data, offsets)
-    pairs = subwords.of(hashes, data, starts, ends)
+    words, first, place = np.unique(hashes, return_index=True, return_inverse=True)
+    pairs = subwords.of(words, data, starts[first], ends[first])
     counts = np.bincount(owner, minlength=batch.num_rows)
-    last = np.cumsum(counts)
-    tokens = np.insert(hashes, last, END_HASH)
-    return tokens, np.insert(pairs, last, END_OF_TEXT * 65_537), counts + 1
+    tokens = np.insert(place, np.cumsum(counts), len(words))
+    return np.append(words, END_HASH), np.append(pairs, END_OF_TEXT * 65_537), tokens, counts + 1
 
 
 def _counted(lines: bytes):
-    """(word, pair, count) of a task's training texts."""
+    """Rows of a task's training texts: (word, pair, count), and for the windows to fit to, their pairs.
+
+    A window is 2 * BLOCK tokens, one byte string of 32-bit numbers; places outside the text are -1.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, hasher = Subwords(lines), WordHasher()
+        subwords, hasher, rng = Subwords(lines), WordHasher(), np.random.default_rng(5)
         held: list[tuple[np.ndarray, ...]] = []
 
         def merged():
@@ -89,23 +95,49 @@ def _counted(lines: bytes):
 
         for whole in batches:
             for batch in slices(whole, 0):
-                tokens, pairs, _ = _read(subwords, hasher, batch)
-                distinct, first, times = np.unique(tokens, return_index=True, return_counts=True)
-                held.append((distinct, pairs[first], times))
-                if len(held) >= 16:
+                words, pairs, tokens, counts = _read(subwords, hasher, batch)
+                held.append((words, pairs, np.bincount(tokens, minlength=len(words))))
+                yield windows(pairs[tokens], counts, rng)
+                if len(held) >= 8:
                     held = [merged()]
-                    if len(held[0][0]) > 500_000:
+                    if len(held[0][0]) > 300_000:
                         yield out(*held[0])
                         held = []
         if held:
             yield out(*merged())
 
-    def out(words, pairs, times):
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(pairs), pa.array(times)],
-                                          ["word", "pair", "count"])
+    def windows(pairs, counts, rng) -> pa.RecordBatch:
+        placed, scored, _ = _places(pairs, counts)
+        pick = scored[rng.integers(0, 64, len(scored)) < FIT_OF_64]
+        # The token before a window's first place is read at that place.
+        both = np.concatenate([np.where(pick >= 2, placed[pick - 2, -1], -1)[:, None], placed[pick - 1], placed[pick]],
+                              axis=1).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(pick), pa.int64())] * 3 + [pa.array([w.tobytes() for w in both], pa.binary())], names)
+
+    def out(words, pairs, times) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(pairs), pa.array(times),
+                                           pa.nulls(len(words), pa.binary())], names)
+
+    names = ["word", "pair", "count", "window"]
     return rows
 
 
+def _places(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts as blocks of BLOCK places with a block of padding in front of each: (pair or -1, blocks to score, places)."""
+    blocks = -(-counts // BLOCK) + 1
+    begin = np.cumsum(blocks) - blocks
+    total = int(blocks.sum())
+    text = np.repeat(np.arange(len(counts)), counts)
+    within = np.arange(len(pairs)) - np.repeat(np.cumsum(counts) - counts, counts)
+    place = (begin[text] + 1) * BLOCK + within
+    placed = np.full(total * BLOCK, -1, np.int64)
+    placed[place] = pairs
+    scored = np.ones(total, bool)
+    scored[begin] = False
+    return placed.reshape(total, BLOCK), np.flatnonzero(scored), place
+
+
 @dataclass
 class Vocabulary:
     """What subword ids stand for in the model; all of it from counts over all training texts.
@@ -145,29 +177,19 @@ def _vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(pairs, class_of_last, *symbols)
 
 
-def _blocks(vocabulary: Vocabulary, pairs: np.ndarray, counts: np.ndarray):
-    """Texts as blocks of BLOCK places: (first symbols, last symbols, class to be told, block before).
+def _symbols(vocabulary: Vocabulary, placed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first symbol read, last symbol read, class told) at each place of rows of tokens.
 
-    A place reads the token before the one it tells; each text has a block of padding in front.  Places after
-    the end tell -1.
+    A place reads the token before it in the row; the first of a text reads its start.  The row's first
+    place is only there to be read.  Places without a token tell -1, and those before a text read padding.
     """
-    blocks = -(-counts // BLOCK) + 1
-    begin = np.cumsum(blocks) - blocks
-    total = int(blocks.sum())
-    text = np.repeat(np.arange(len(counts)), counts)
-    within = np.arange(len(pairs)) - np.repeat(np.cumsum(counts) - counts, counts)
-    place = (begin[text] + 1) * BLOCK + within
-    told = np.full(total * BLOCK, -1, np.int16)
-    told[place] = vocabulary.classes(pairs)
-    one, two = (np.full(total * BLOCK, PAD, np.int16) for _ in range(2))
-    one[place], two[place] = START, START
-    reads = within > 0
-    before = pairs[np.flatnonzero(reads) - 1]
-    one[place[reads]] = vocabulary.symbol_of_first[before // 65_536]
-    two[place[reads]] = vocabulary.symbol_of_last[before % 65_536]
-    scored = np.ones(total, bool)
-    scored[begin] = False
-    return (*(a.reshape(total, BLOCK) for a in (one, two, told)), np.flatnonzero(scored), place)
+    told, before = placed[:, 1:], placed[:, :-1]
+    classes = np.where(told >= 0, vocabulary.classes(np.maximum(told, 0).ravel()).reshape(told.shape), -1)
+    out = [classes.astype(np.int16)]
+    for table, ids in ((vocabulary.symbol_of_last, before % 65_536), (vocabulary.symbol_of_first, before // 65_536)):
+        read = table[np.maximum(ids, 0)]
+        out.insert(0, np.where(before >= 0, read, np.where(told >= 0, START, PAD)).astype(np.int16))
+    return tuple(out)
 
 
 class Attention:
@@ -211,17 +233,46 @@ class Attention:
         return x, q, keys, values, scores, read, logits
 
     def log_probabilities(self, one, two, told, scored) -> np.ndarray:
-        """Natural logarithms for the told classes of the scored blocks; 0 where none is told."""
+        """Natural logarithms for the told classes of the scored blocks; 0 where none is told.
+
+        The same as `_forward` and a softmax, in few passes over memory.  Logits beyond what a 32-bit
+        exponential holds would give infinity; such blocks take the longer way.
+        """
+        w = self.w
         out = np.zeros(told.shape, np.float64)
-        for low in range(0, len(scored), 512):
-            own = scored[low:low + 512]
+        mix = np.concatenate([w["query"] * np.float32(WIDTH ** -0.5), w["skip"]], axis=1)
+        store = np.concatenate([w["key"], w["value"]], axis=1)
+        bias = np.where(self._AGO >= 0, w["distance"][np.maximum(self._AGO, 0)], -1e9).astype(np.float32)
+        ones = np.ones((CLASSES, 1), np.float32)
+        for low in range(0, len(scored), CHUNK):
+            own = scored[low:low + CHUNK]
             span = slice(own[0] - 1, own[-1] + 1)
-            logits = self._forward(one[span], two[span], own - own[0] + 1)[-1]
-            top = logits.max(axis=2, keepdims=True)
-            log_sum = np.log(np.exp(logits - top).sum(axis=2)) + top[:, :, 0]
-            target = told[own]
-            picked = np.take_along_axis(logits, np.maximum(target, 0)[:, :, None].astype(np.int64), axis=2)[:, :, 0]
-            out[own] = np.where(target >= 0, picked - log_sum, 0.0)
+            at = own - own[0] + 1
+            x = w["first"][one[span]]
+            x += w["last"][two[span]]
+            kept = x @ store
+            both = np.concatenate([kept[at - 1], kept[at]], axis=1)
+            asked = x[at] @ mix
+            scores = asked[:, :, :WIDTH] @ both[:, :, :WIDTH].transpose(0, 2, 1)
+            scores += bias
+            with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+                np.exp(scores, out=scores)
+                hidden = np.concatenate([one[span][at - 1], one[span][at]], axis=1) == PAD
+                scores *= ~hidden[:, None, :]
+                read = scores @ both[:, :, WIDTH:]
+                read /= scores.sum(axis=2, keepdims=True)
+                logits = read @ w["out"]
+                logits += asked[:, :, WIDTH:]
+                logits += w["bias"]
+                target = told[own]
+                picked = np.take_along_axis(logits, np.maximum(target, 0)[:, :, None].astype(np.int64), axis=2)
+                value = picked[:, :, 0] - np.log((np.exp(logits) @ ones)[:, :, 0])
+            if not np.isfinite(value[target >= 0]).all():
+                logits = self._forward(one[span], two[span], at)[-1].astype(np.float64)
+                top = logits.max(axis=2, keepdims=True)
+                picked = np.take_along_axis(logits - top, np.maximum(target, 0)[:, :, None].astype(np.int64), axis=2)
+                value = picked[:, :, 0] - np.log(np.exp(logits - top).sum(axis=2))
+            out[own] = np.where(target >= 0, value, 0.0)
         return out
 
     def gradients(self, one, two, told) -> dict[str, np.ndarray]:
@@ -289,30 +340,14 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _windows(lines: bytes, vocabulary: Vocabulary):
-    """Every eighth window of the training texts: the symbols and classes of two blocks."""
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, hasher = Subwords(lines), WordHasher()
-        rng = np.random.default_rng(5)
-        for whole in batches:
-            for batch in slices(whole, 0):
-                _, pairs, counts = _read(subwords, hasher, batch)
-                one, two, told, scored, _ = _blocks(vocabulary, pairs, counts)
-                pick = scored[rng.integers(0, 64, len(scored)) < FIT_OF_64]
-                both = [np.concatenate([a[pick - 1], a[pick]], axis=1) for a in (one, two, told)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row.tobytes() for row in np.concatenate(both, axis=1)], pa.binary())], ["window"])
-    return rows
-
-
-def _fitted(flat: np.ndarray, turn: int):
+def _fitted(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
     """A part's weights after a pass over its windows, in pieces, times its number of windows."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = [w for batch in batches for w in batch.column(0).to_pylist()]
         if not windows:
             return
-        all_three = np.frombuffer(b"".join(windows), np.int16).reshape(len(windows), 3, 2, BLOCK)
-        one, two, told = (all_three[:, i].reshape(-1, BLOCK) for i in range(3))
+        placed = np.frombuffer(b"".join(windows), np.int32).reshape(len(windows), 2 * BLOCK + 1).astype(np.int64)
+        one, two, told = (a.reshape(-1, BLOCK) for a in _symbols(vocabulary, placed))
         model = Attention(_shaped(flat))
         model.fit(one, two, told, np.random.default_rng(turn))
         new = _flat(model.w).astype(np.float64) * len(windows)
@@ -322,21 +357,20 @@ def _fitted(flat: np.ndarray, turn: int):
     return rows
 
 
-def train(texts: DataFrame, lines: bytes, vocabulary: Vocabulary, prior: np.ndarray) -> np.ndarray:
+def train(windows: DataFrame, vocabulary: Vocabulary, prior: np.ndarray) -> np.ndarray:
     """Weights fitted in rounds: each part of the windows goes on from the same weights, then they are averaged.
 
     The number of windows and of parts grows with the texts; sums are made by Spark, and one set of weights
     (a fixed number) comes to the driver each round.
     """
     flat = _flat(Attention.start(prior))
-    windows = saved(texts.select("text").mapInArrow(_windows(lines, vocabulary), "window binary"), "lm-windows")
     number = windows.count()
     parts = max(1, -(-number // WINDOWS_PER_PART))
-    dealt = saved(windows.repartition(parts, F.xxhash64("window")).sortWithinPartitions(F.xxhash64("window"))
-                  .withColumn("part", F.spark_partition_id()), "lm-parts")
+    # Dealt by turns, so that copies of a text do not meet in one part.
+    dealt = saved(windows.repartition(parts).withColumn("part", F.spark_partition_id()), "lm-parts")
     for turn in range(ROUNDS if number else 0):
-        sums = (dealt.repartition(parts, "part").sortWithinPartitions(F.xxhash64("window")).select("window")
-                .mapInArrow(_fitted(flat, turn), "place long, weight double, windows long")
+        sums = (dealt.repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("window")).select("window")
+                .mapInArrow(_fitted(flat, vocabulary, turn), "place long, weight double, windows long")
                 .groupBy("place").agg(F.sum("weight").alias("weight"), F.sum("windows").alias("windows")))
         for r in sums.collect():
             flat[r["place"]] = r["weight"] / r["windows"]
@@ -350,17 +384,22 @@ def _scored(lines: bytes, vocabulary: Vocabulary, flat: np.ndarray, frequent: np
         subwords, hasher, model = Subwords(lines), WordHasher(), Attention(_shaped(flat))
         for whole in batches:
             for batch in slices(whole, 0):
-                tokens, pairs, counts = _read(subwords, hasher, batch)
+                words, pairs, tokens, counts = _read(subwords, hasher, batch)
                 text = np.repeat(np.arange(batch.num_rows), counts)
-                one, two, told, scored, place = _blocks(vocabulary, pairs, counts)
+                placed, scored, place = _places(pairs[tokens], counts)
+                before = np.r_[-1, placed[:-1, -1]][:, None]
+                one, two, told = _symbols(vocabulary, np.concatenate([before, placed], axis=1))
                 logs = model.log_probabilities(one, two, told, scored).ravel()[place] / np.log(10)
-                gain = np.bincount(text, weights=logs - share[vocabulary.classes(pairs)], minlength=batch.num_rows)
+                gain = np.bincount(text, weights=logs - share[vocabulary.classes(pairs)][tokens],
+                                   minlength=batch.num_rows)
                 if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                    known = frequent[at] == tokens
-                    value = np.where(known, np.log10(times[at] + 0.5), 0.0)
+                    at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+                    held = frequent[at] == words
+                    value = np.where(held, np.log10(times[at] + 0.5), 0.0)[tokens]
+                    known = held[tokens]
                 else:
                     known, value = np.zeros(len(tokens), bool), np.zeros(len(tokens))
+                tokens = words[tokens]
                 order = np.lexsort((tokens[~known], text[~known]))
                 word, owner = tokens[~known][order], text[~known][order]
                 fresh = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (owner[1:] != owner[:-1])]) if len(
@@ -397,8 +436,10 @@ def score_texts(docs: DataFrame, held_out, ranks: str = RANKS, id_col: str = "do
     texts = docs.select(whole_text(F.col(text_col)).alias("text"), F.col(id_col).alias("id"),
                         held_out.alias("held_out"))
     training = texts.where("NOT held_out")
-    counts = saved(training.select("text").mapInArrow(_counted(lines), "word long, pair long, count long")
-                   .groupBy("word", "pair").agg(F.sum("count").alias("count")), "lm-counts")
+    read = saved(training.select("text").mapInArrow(
+        _counted(lines), "word long, pair long, count long, window binary"), "lm-read")
+    counts = saved(read.where("word IS NOT NULL").groupBy("word", "pair").agg(F.sum("count").alias("count")),
+                   "lm-counts")
     n, v = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     vocabulary = _vocabulary(counts)
 
@@ -411,7 +452,7 @@ def score_texts(docs: DataFrame, held_out, ranks: str = RANKS, id_col: str = "do
     for r in inside:
         size[r["class"]] = r["n"] + 0.5 * (r["v"] + 1)
         mass[r["class"]] = r["n"] + 0.5
-    flat = train(training, lines, vocabulary, mass / mass.sum())
+    flat = train(read.where("window IS NOT NULL").select("window"), vocabulary, mass / mass.sum())
 
     head = counts.orderBy(F.desc("count"), "word").limit(FREQUENT).select("word", "count").collect()
     frequent = np.array([r["word"] for r in head], np.int64).view(np.uint64)

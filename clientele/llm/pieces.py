@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from clientele.llm.common import whole_text
+from clientele.llm.common import fresh, whole_text
 from clientele.llm.words import slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Entries that a task remembers of each kind; beyond, it forgets and finds them again.
-MEMORY = 300_000
+#: Words, and pairs of pieces, that a task remembers; beyond, it forgets and finds them again.
+WORDS_KEPT = 600_000
+PAIRS_KEPT = 300_000
 _INFINITY = float("inf")
 # Numbers of the model format.
 UNIGRAM, BPE = 1, 2
@@ -68,13 +70,23 @@ class Transducer:
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == BYTE}
         self.floor = min(self.scores.values(), default=0.0) - UNKNOWN_PENALTY
-        # Where a piece goes on, so that reading stops as soon as no piece can follow.
-        self.prefixes = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
+        # The pieces as a tree of characters; "" leads to the piece that ends there.
+        self.tree: dict = {}
+        for piece in self.ids:
+            node = self.tree
+            for character in piece:
+                node = node.setdefault(character, {})
+            node[""] = piece
         self.by_words = not any(self.mark in p.lstrip(self.mark) for p in self.ids)
         mark = re.escape(self.mark)
         self.word = re.compile(rf"{mark}*[^{mark}]+|{mark}+" if self.by_words else r".+", re.S)
+        # What each id stands for when it is read backwards.
+        self.written = [bytes([int(t[3:5], 16)]) if k == BYTE else b"" if k == CONTROL
+                        else " ⁇ ".encode() if k == UNKNOWN else t.replace(self.mark, " ").encode()
+                        for t, k in zip(self.texts, self.kinds)]
         self.known: dict[str, list[int]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.held = 0
 
     def normalised(self, text: str) -> str:
         if self.squeeze:
@@ -85,49 +97,57 @@ class Transducer:
 
     def _merged(self, text: str) -> list[str]:
         """What merging leaves of a short text."""
-        symbols = list(text)
-        while True:
-            best, place = -_INFINITY, -1
-            for i in range(len(symbols) - 1):
-                score = self.scores.get(symbols[i] + symbols[i + 1])
-                if score is not None and (place < 0 or score > best):
-                    best, place = score, i
-            if place < 0:
-                return symbols
-            symbols[place:place + 2] = [symbols[place] + symbols[place + 1]]
+        symbols, get = list(text), self.scores.get
+        scores = [get(a + b, -_INFINITY) for a, b in zip(symbols, symbols[1:])]
+        while scores:
+            best = max(scores)
+            if best == -_INFINITY:
+                break
+            i = scores.index(best)
+            symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(symbols[i - 1] + symbols[i], -_INFINITY)
+            if i < len(scores):
+                scores[i] = get(symbols[i] + symbols[i + 1], -_INFINITY)
+        return symbols
 
     def _follows(self, before: str, piece: str) -> bool:
         """Whether the arc from `before` ('' at the front of a word) to `piece` weighs 0."""
-        if len(self.pairs) >= MEMORY:
+        self.held += 1
+        if self.held > PAIRS_KEPT:
             self.pairs.clear()
-        held = self._merged(before + piece) == ([before, piece] if before else [piece])
-        self.pairs[before, piece] = held
-        return held
+            self.held = 1
+        zero = self._merged(before + piece) == ([before, piece] if before else [piece])
+        self.pairs.setdefault(before, {})[piece] = zero
+        return zero
 
     def _readable(self, word: str, start: int) -> list[str]:
         """Pieces that can be read at a place of the word, and its character; the longest last."""
         out = [word[start]]
-        for end in range(start + 2, len(word) + 1):
-            piece = word[start:end]
-            if piece not in self.prefixes:
+        node = self.tree.get(word[start])
+        for character in word[start + 1:start + self.longest] if node else "":
+            node = node.get(character)
+            if node is None:
                 break
-            if piece in self.ids:
+            piece = node.get("")
+            if piece is not None:
                 out.append(piece)
         return out
 
     def _merge_path(self, word: str) -> list[str]:
         """The path of weight 0: depth first, long pieces first; states that led nowhere are not tried again."""
-        pairs, follows = self.pairs, self._follows
-        path, choices, dead = [], [self._readable(word, 0)], set()
+        pairs, dead = self.pairs, set()
+        path, choices = [], [self._readable(word, 0)]
         place, before, length = 0, "", len(word)
         while place < length:
-            options = choices[-1]
+            options, known = choices[-1], pairs.get(before) or {}
             while options:
                 piece = options.pop()
-                if (place + len(piece), piece) in dead:
+                if dead and (place + len(piece), piece) in dead:
                     continue
-                held = pairs.get((before, piece))
-                if held or held is None and follows(before, piece):
+                zero = known.get(piece)
+                if zero or zero is None and self._follows(before, piece):
                     break
             else:  # back to the piece before
                 choices.pop()
@@ -173,7 +193,7 @@ class Transducer:
         for word in self.word.findall(self.normalised(text)):
             ids = known.get(word)
             if ids is None:
-                if len(known) >= MEMORY:
+                if len(known) >= WORDS_KEPT:
                     known.clear()
                 ids = self._word_ids(word)
                 if len(word) < 100:
@@ -183,16 +203,7 @@ class Transducer:
 
     def decode(self, ids: list[int]) -> str:
         """The transducer read backwards: ids to text, runs of bytes as UTF-8 (U+FFFD for bytes that are none)."""
-        parts: list[bytes] = []
-        for number in ids:
-            kind, text = self.kinds[number], self.texts[number]
-            if kind == BYTE:
-                parts.append(bytes([int(text[3:5], 16)]))
-            elif kind == UNKNOWN:
-                parts.append(" ⁇ ".encode())
-            elif kind != CONTROL:
-                parts.append(text.replace(self.mark, " ").encode())
-        text = b"".join(parts).decode(errors="replace")
+        text = b"".join(map(self.written.__getitem__, ids)).decode(errors="replace")
         return text[1:] if self.dummy and text.startswith(" ") else text
 
 
@@ -206,7 +217,7 @@ def encode_pieces(docs: DataFrame, model: str = MODEL, text_col: str = "text") -
         compiled = file.read()
     new = ("ids", "n_tokens", "decoded")
     kept = [c for c in docs.columns if c not in new]
-    source = docs.select(whole_text(F.col(f"`{text_col}`")).alias("__text"), *[f"`{c}`" for c in kept])
+    source = docs.select(whole_text(F.col(f"`{text_col}`")).alias(fresh(docs.columns, "text_read")), *[f"`{c}`" for c in kept])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = Transducer(compiled)
@@ -214,7 +225,7 @@ def encode_pieces(docs: DataFrame, model: str = MODEL, text_col: str = "text") -
             for batch in slices(whole, 0):
                 ids = [transducer.encode(text) for text in batch.column(0).to_pylist()]
                 sizes = np.array([len(i) for i in ids], np.int32)
-                flat = np.fromiter((i for own in ids for i in own), np.int32, int(sizes.sum()))
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat))
                 decoded = [transducer.decode(i) for i in ids]

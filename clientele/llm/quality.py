@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.llm.common import crc_of_id, whole_text
+from clientele.llm.common import crc_of_id, fresh, whole_text
 from clientele.llm.words import WordHasher, bytes_of, mixed, ngrams, slices
 
 BITS = 18
@@ -148,7 +148,7 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, text_col: str = "text",
     """
     bits = (len(weights) - 1).bit_length() - 1
     kept = [c for c in docs.columns if c != to]
-    numbered = docs.select(whole_text(F.col(f"`{text_col}`")).alias("__text"), *[f"`{c}`" for c in kept])
+    numbered = docs.select(whole_text(F.col(f"`{text_col}`")).alias(fresh(docs.columns, "text_read")), *[f"`{c}`" for c in kept])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()

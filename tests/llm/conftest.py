@@ -1,0 +1,30 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    """Documents with the awkward rows: NULLs in every column, empty and long texts, repeats, odd columns."""
+    def build(texts, extra=()):
+        rows = [(i, t, "en", "src0", None if t is None else len(t)) for i, t in enumerate(texts)] + list(extra)
+        return spark.createDataFrame(
+            rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return build
+
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma".split()
+
+
+def prose(seed: int, n: int) -> str:
+    import random
+    rng = random.Random(seed)
+    return " ".join(rng.choice(WORDS) + str(rng.randrange(40)) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def awkward(documents):
+    """Every case that an operator must take without falling over."""
+    long = prose(1, 20_000)
+    texts = [prose(2, 60), None, "", " \n\t ", "one", prose(2, 60).upper(), long, long, "Ünïcödé ▁   \x00 end",
+             prose(3, 60), prose(3, 60)]
+    return documents(texts, [(None, prose(4, 30), None, None, None), (None, None, None, None, None),
+                             (3, prose(3, 60), "de", None, 1), (3, prose(3, 60), "de", None, 1)])
