@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm.common import saved, table
+from clientele.llm.common import fresh, saved, table
 from clientele.llm.decontamination import without_leaks
 from clientele.llm.exact_dedup import without_copies
 from clientele.llm.jaccard import one_of_each_group
@@ -23,10 +23,7 @@ QUALITY_FLOOR = 0.3
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a classifier learnt from the labels of these documents does not reject."""
     weights = learn_quality(docs, table(spark, sf_dir, "labels"))
-    # The score gets a name that no column of the documents has.
-    name = "score"
-    while name in docs.columns:
-        name = f"_{name}"
+    name = fresh(docs.columns, "score")
     return quality_scores(docs, weights, to=name).where(F.col(name) >= QUALITY_FLOOR).drop(name)
 
 
