@@ -28,7 +28,7 @@ FIRST_SHARE = 0.35
 #: Minimum hashes by which sets meet before the join proper.
 SKETCHES = 6
 #: A posting list over this many sets is compared block by block.
-LIST_BLOCK = 20_000
+LIST_BLOCK = 1_500
 #: Frequencies above are held to be the same.
 MOST_FREQUENT = 100_000
 #: What checking a candidate costs, in steps along a posting list.
@@ -139,10 +139,7 @@ def _shared_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         shared = np.empty(0, bool)
     names = np.concatenate([name[shared], sets[counted]])
     times = np.concatenate([np.ones(shared.sum(), np.int64), kinds[counted].astype(np.int64) - 1])
-    found, place = np.unique(names, return_inverse=True)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(found), pa.array(np.bincount(place, weights=times, minlength=len(found)).astype(np.int64))],
-        ["set", "shared"])
+    yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(times)], ["set", "shared"])
 
 
 def _whole_sets(words: int, bitmap: np.ndarray):
@@ -232,68 +229,99 @@ def _prefixes(percent: int):
     Tokens that no other set has come first in the order; they take up the prefix and meet nothing.
     With frequencies f of the other tokens in the l-prefix, at most sum(f) / l sets share l of them,
     so going along the posting lists and checking costs at most sum(f) * (1 + CHECK_COST / l).
+
+    A row for each token of the 1-prefix, by which linked sets must meet, with the whole l-prefix, of which they
+    must share l.  Both are cut to 32 bits, which can only make sets meet or share more.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple[np.ndarray, int, int, int]] = []
+            names, sizes, matches, prefixes, meets = [], [], [], [], []
             lists = batch.column(2)
             items = lists.flatten()
             frequency = items.field(0).to_numpy(zero_copy_only=False)
-            token = items.field(1).to_numpy(zero_copy_only=False)
+            token = items.field(1).to_numpy(zero_copy_only=False).astype(np.int32)
             ends = np.cumsum(np.r_[0, lists.value_lengths().to_numpy()])
             for i, (name, n) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 f, t = frequency[ends[i]:ends[i + 1]], token[ends[i]:ends[i + 1]]
-                overlap = least_overlap(n, percent)
-                least = len(f) - overlap + 1  # shared tokens in the 1-prefix
+                least = len(f) - least_overlap(n, percent) + 1  # shared tokens in the 1-prefix
                 if least < 1:
                     continue
                 sums = np.cumsum(f)[least - 1:]
-                matches = np.arange(1, len(sums) + 1)
-                best = int(np.argmin(sums * (1 + CHECK_COST / matches)))
-                out.append((t[:least + best], name, best + 1, n))
-            sizes = [len(o[0]) for o in out]
-            column = lambda k: pa.array(np.repeat(np.array([o[k] for o in out], np.int64), sizes))
+                best = int(np.argmin(sums * (1 + CHECK_COST / np.arange(1, len(sums) + 1))))
+                names.append(name)
+                sizes.append(n)
+                matches.append(best + 1)
+                prefixes.append(t[:least + best])
+                meets.append(np.unique(t[:least]))
+            times = np.array([len(m) for m in meets], np.int64)
+            whole = lambda arrays: np.concatenate(arrays) if arrays else np.empty(0, np.int32)
+            column = lambda values: pa.array(np.repeat(np.array(values, np.int64), times))
+            own = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32)), pa.array(whole(prefixes)))
+            met = pa.ListArray.from_arrays(
+                pa.array(np.cumsum([0, *map(len, meets)]).astype(np.int32)), pa.array(whole(meets)))
+            which = pa.array(np.repeat(np.arange(len(names)), times))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([o[0] for o in out]) if out else np.empty(0, np.int64)),
-                 column(1), column(2), column(3)], ["token", "set", "matches", "n"])
+                [pa.array(whole(meets)), column(names), column(matches), column(sizes), own.take(which), met.take(which)],
+                ["token", "set", "matches", "n", "prefix", "meets"])
     return rows
 
 
+def _common(lists: list[np.ndarray]) -> np.ndarray:
+    """How many numbers each two of the lists share, as a matrix product over a few thousand numbers at a time."""
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
+    counts = np.zeros((len(lists), len(lists)), np.float32)
+    for low in range(0, len(distinct), 4096):
+        inside = (place >= low) & (place < low + 4096)
+        has = np.zeros((len(lists), min(4096, len(distinct) - low)), np.float32)
+        has[owner[inside], place[inside] - low] = 1
+        counts += has @ has.T
+    return counts
+
+
 def _list_pairs(percent: int):
-    """From posting lists, sorted by list: pairs of sets of different groups that may link by their sizes."""
-    def pairs(block, name, group, matches, n, low, high) -> pa.RecordBatch | None:
-        left, right, need = [], [], []
-        for i in range(len(name) - 1):
-            rest = slice(i + 1, None)
-            fits = (group[rest] != group[i]) & (percent * np.maximum(n[rest], n[i]) <= 100 * np.minimum(n[rest], n[i]))
-            if low != high:
-                fits &= block[rest] != block[i]
-            found = np.flatnonzero(fits) + i + 1
-            if len(found):
-                left.append(np.minimum(name[found], name[i]))
-                right.append(np.maximum(name[found], name[i]))
-                need.append(np.minimum(matches[found], matches[i]))
-        if not left:
+    """From posting lists, sorted by list: pairs of sets of different groups that may be linked.
+
+    A pair may be linked by its sizes and by the prefix tokens it shares; it is given in the list of the
+    smallest token by which it meets.
+    """
+    def pairs(rows: pa.Table) -> pa.RecordBatch | None:
+        token, low, high, block, name, group, matches, n = (rows.column(i).to_numpy() for i in range(8))
+        if len(name) < 2 or (group == group[0]).all():
+            return None
+        prefix, meets = (rows.column(i).combine_chunks() for i in (8, 9))
+        parts = lambda c: np.split(c.flatten().to_numpy(), np.cumsum(c.value_lengths().to_numpy())[:-1])
+        fits = np.triu(group[:, None] != group[None, :], 1)
+        fits &= percent * np.maximum(n[:, None], n[None, :]) <= 100 * np.minimum(n[:, None], n[None, :])
+        if low[0] != high[0]:
+            fits &= block[:, None] != block[None, :]
+        if fits.any():
+            fits &= _common(parts(prefix)) >= np.minimum(matches[:, None], matches[None, :])
+        if fits.any():
+            fits &= _common([m[m < token[0]] for m in parts(meets)]) == 0
+        one, other = np.nonzero(fits)
+        if not len(one):
             return None
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (left, right, need)],
-                                          ["a", "b", "need"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(name[one], name[other])), pa.array(np.maximum(name[one], name[other]))], ["a", "b"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: pa.Table | None = None
         for batch in batches:
-            new = [c.to_numpy().astype(np.int64) for c in batch.columns]
-            held = [np.concatenate(p) for p in zip(held, new)] if held else new
-            if not len(held[0]):
+            new = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, new]) if held is not None and held.num_rows else new
+            if not held.num_rows:
                 continue
-            token, low, high = held[:3]
-            fresh = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            for a, b in zip(fresh, fresh[1:]):
-                found = pairs(*(c[a:b] for c in held[3:]), low[a], high[a])
+            token, low, high = (held.column(i).to_numpy() for i in range(3))
+            first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            for a, b in zip(first, first[1:]):
+                found = pairs(held.slice(a, b - a))
                 if found is not None:
                     yield found
-            held = [c[fresh[-1]:] for c in held]
-        if held and len(held[0]):
-            found = pairs(*(c for c in held[3:]), held[1][0], held[2][0])
+            held = held.slice(first[-1])
+        if held is not None and held.num_rows:
+            found = pairs(held)
             if found is not None:
                 yield found
     return rows
@@ -356,9 +384,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     1. Documents of equal sets are one set from here on, however many.
     2. First filter: in the order of token numbers (hashes), a set that shares too few of its first tokens with
        any other set links with none.  Most sets go.
-    3. Sets that meet in a minimum hash are checked against the first of them; linked ones start as one group.
+    3. Sets that meet in a minimum hash are checked against the first of them; connected ones start as one group.
     4. Tokens of the remaining sets are ordered by frequency, rarest first; each set takes the prefix of least
-       estimated cost (`_prefixes`), and pairs of different groups that share enough prefix tokens are checked.
+       estimated cost (`_prefixes`), and pairs of different groups that share enough of its tokens are checked.
        Posting lists within one group are left out, long ones compared in blocks.  Pairs inside a group are
        reachable from each other already, so no component is lost.
     """
@@ -430,17 +458,14 @@ def _set_groups(texts: DataFrame, classes: DataFrame, words: int, percent: int)
     starred = (met.join(heads, ["k", "least"]).where(F.col("set") != F.col("a"))
                .select("a", F.col("set").alias("b")).distinct())
     near = saved(_links(starred, sets, percent), "jaccard-links")
-    # One number for sets known to be connected: the least head, and that head's least head.
-    head = saved(near.groupBy("b").agg(F.min("a").alias("head")), "jaccard-heads")
-    over = head.select(F.col("b").alias("head"), F.col("head").alias("over"))
-    start = head.join(over, "head", "left").select(F.col("b").alias("set"), F.coalesce("over", "head").alias("group"))
+    start = saved(connected(near), "jaccard-start").select(F.col("node").alias("set"), "group")
 
     postings = (sets.select(F.explode("tokens").alias("token"), "set")
                 .repartition(partitions_for(total // 8, 1_000_000, spark), "token").sortWithinPartitions("token")
                 .mapInArrow(_frequent, "token long, set long, frequency long"))
     ordered = (postings.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("frequency", "token"))).alias("list"))
                .join(alive, "set").select("set", "n", "list"))
-    prefixes = (ordered.mapInArrow(_prefixes(percent), "token long, set long, matches long, n long")
+    prefixes = (ordered.mapInArrow(_prefixes(percent), "token int, set long, matches long, n long, prefix array<int>, meets array<int>")
                 .join(start, "set", "left").withColumn("group", F.coalesce("group", "set")))
     prefixes = saved(prefixes, "jaccard-prefixes")
     lists = (prefixes.groupBy("token").agg(F.count("*").alias("size"), F.min("group").alias("low_group"),
@@ -451,10 +476,8 @@ def _set_groups(texts: DataFrame, classes: DataFrame, words: int, percent: int)
     blocks = (prefixes.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("set"), parts).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
               .select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                      "block", "set", "group", "matches", "n"))
+                      "block", "set", "group", "matches", "n", "prefix", "meets"))
     pairs = (blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-             .mapInArrow(_list_pairs(percent), "a long, b long, need long")
-             .groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need"))
-             .where("shared >= need").select("a", "b"))
+             .mapInArrow(_list_pairs(percent), "a long, b long").distinct())
     far = saved(_links(saved(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
     return connected(near.union(far))
