@@ -230,8 +230,8 @@ def _prefixes(percent: int):
     With frequencies f of the other tokens in the l-prefix, at most sum(f) / l sets share l of them,
     so going along the posting lists and checking costs at most sum(f) * (1 + CHECK_COST / l).
 
-    A row for each token of the 1-prefix, by which linked sets must meet, with the whole l-prefix, of which they
-    must share l.  Both are cut to 32 bits, which can only make sets meet or share more.
+    A row for each set: the l-prefix, of which linked sets share l, begins with the `meets` tokens of the 1-prefix, by
+    which they must meet.  Tokens are cut to 32 bits, which can only make sets meet or share more.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,25 +252,20 @@ def _prefixes(percent: int):
                 sizes.append(n)
                 matches.append(best + 1)
                 prefixes.append(t[:least + best])
-                meets.append(np.unique(t[:least]))
-            times = np.array([len(m) for m in meets], np.int64)
-            whole = lambda arrays: np.concatenate(arrays) if arrays else np.empty(0, np.int32)
-            column = lambda values: pa.array(np.repeat(np.array(values, np.int64), times))
+                meets.append(least)
             own = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32)), pa.array(whole(prefixes)))
-            met = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, meets)]).astype(np.int32)), pa.array(whole(meets)))
-            which = pa.array(np.repeat(np.arange(len(names)), times))
+                pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32)),
+                pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(whole(meets)), column(names), column(matches), column(sizes), own.take(which), met.take(which)],
-                ["token", "set", "matches", "n", "prefix", "meets"])
+                [*(pa.array(c, pa.int64()) for c in (names, matches, sizes)), own, pa.array(meets, pa.int32())],
+                ["set", "matches", "n", "prefix", "meets"])
     return rows
 
 
 def _common(lists: list[np.ndarray]) -> np.ndarray:
     """How many numbers each two of the lists share, as a matrix product over a few thousand numbers at a time."""
     owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    distinct, place = np.unique(np.concatenate(lists), return_inverse=True)
+    distinct, place = np.unique(np.concatenate(lists), return_inverse=True)  # a list may name one twice
     counts = np.zeros((len(lists), len(lists)), np.float32)
     for low in range(0, len(distinct), 4096):
         inside = (place >= low) & (place < low + 4096)
@@ -290,16 +285,17 @@ def _list_pairs(percent: int):
         token, low, high, block, name, group, matches, n = (rows.column(i).to_numpy() for i in range(8))
         if len(name) < 2 or (group == group[0]).all():
             return None
-        prefix, meets = (rows.column(i).combine_chunks() for i in (8, 9))
-        parts = lambda c: np.split(c.flatten().to_numpy(), np.cumsum(c.value_lengths().to_numpy())[:-1])
+        lists = rows.column(8).combine_chunks()
+        prefix = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        meets = [p[:k] for p, k in zip(prefix, rows.column(9).to_pylist())]
         fits = np.triu(group[:, None] != group[None, :], 1)
         fits &= percent * np.maximum(n[:, None], n[None, :]) <= 100 * np.minimum(n[:, None], n[None, :])
         if low[0] != high[0]:
             fits &= block[:, None] != block[None, :]
         if fits.any():
-            fits &= _common(parts(prefix)) >= np.minimum(matches[:, None], matches[None, :])
+            fits &= _common(prefix) >= np.minimum(matches[:, None], matches[None, :])
         if fits.any():
-            fits &= _common([m[m < token[0]] for m in parts(meets)]) == 0
+            fits &= _common([np.unique(m[m < token[0]]) for m in meets]) == 0
         one, other = np.nonzero(fits)
         if not len(one):
             return None
@@ -465,16 +461,19 @@ def _set_groups(texts: DataFrame, classes: DataFrame, words: int, percent: int)
                 .mapInArrow(_frequent, "token long, set long, frequency long"))
     ordered = (postings.groupBy("set").agg(F.sort_array(F.collect_list(F.struct("frequency", "token"))).alias("list"))
                .join(alive, "set").select("set", "n", "list"))
-    prefixes = (ordered.mapInArrow(_prefixes(percent), "token int, set long, matches long, n long, prefix array<int>, meets array<int>")
+    prefixes = saved(ordered.mapInArrow(
+        _prefixes(percent), "set long, matches long, n long, prefix array<int>, meets int"), "jaccard-prefixes")
+    postings = (prefixes.select("set", F.explode(F.array_distinct(F.slice("prefix", F.lit(1), F.col("meets")))).alias("token"))
                 .join(start, "set", "left").withColumn("group", F.coalesce("group", "set")))
-    prefixes = saved(prefixes, "jaccard-prefixes")
-    lists = (prefixes.groupBy("token").agg(F.count("*").alias("size"), F.min("group").alias("low_group"),
+    postings = saved(postings, "jaccard-postings")
+    lists = (postings.groupBy("token").agg(F.count("*").alias("size"), F.min("group").alias("low_group"),
                                            F.max("group").alias("high_group"))
              .where("low_group <> high_group").select("token", "size"))
     lists = saved(lists, "jaccard-lists")
     parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
-    blocks = (prefixes.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("set"), parts).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    # Prefixes join only the rows of lists with several groups.
+    blocks = (postings.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("set"), parts).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).join(prefixes, "set")
               .select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                       "block", "set", "group", "matches", "n", "prefix", "meets"))
     pairs = (blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
