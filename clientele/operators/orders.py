@@ -47,10 +47,11 @@ def movements(lines: DataFrame, documents: DataFrame,
     it is found by a few small jobs at once, before the lines are shuffled.
     """
     if customers is None:
-        heads, candidates, versioned = current_documents(documents), signed_lines(lines), lines
+        heads, candidates = current_documents(documents), signed_lines(lines)
+        wanted = wanted_seconds(lines, "Id")
     else:
         heads, candidates, versioned = _of_customers(lines, documents, customers)
-    wanted = wanted_seconds(versioned, "Id")
+        wanted = written(wanted_seconds(versioned, "Id"), "line-versions")
     chosen = (candidates
               .join(wanted, (F.col("Id") == F.col("_key")) & (F.col("role") == F.col("_role"))
                     & (F.col("second") == F.col("_second")))
