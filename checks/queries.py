@@ -148,22 +148,27 @@ def training_daily(spark, sf):
 
 
 def _revenue_sql(train: str) -> str:
-    return f"SELECT userId, CAST(sum(CAST(order_value AS DECIMAL(30,10))) AS DOUBLE) AS current_total_revenue FROM {train} GROUP BY userId ORDER BY userId"
+    return f"SELECT userId, round(CAST(sum(CAST(order_value AS DECIMAL(30,10))) AS DOUBLE), 6) AS current_total_revenue FROM {train} GROUP BY userId ORDER BY userId"
+
+
+def _revenue(df: DataFrame) -> DataFrame:
+    """The engines turn an exact decimal into doubles that may differ in the last bit."""
+    return df.withColumn("current_total_revenue", F.round("current_total_revenue", 6))
 
 
 @register("revenue_weekly", _revenue_sql("train"))
 def revenue_weekly(spark, sf):
-    return datasets.revenue_per_customer(fx.ledger(spark, sf), "weekly", fx.AS_OF, ordered=True)
+    return _revenue(datasets.revenue_per_customer(fx.ledger(spark, sf), "weekly", fx.AS_OF, ordered=True))
 
 
 @register("revenue_daily", _revenue_sql("train_daily"))
 def revenue_daily(spark, sf):
-    return datasets.revenue_per_customer(fx.ledger(spark, sf), "daily", fx.AS_OF, ordered=True)
+    return _revenue(datasets.revenue_per_customer(fx.ledger(spark, sf), "daily", fx.AS_OF, ordered=True))
 
 
 @register("revenue_from_training", _revenue_sql("train"))
 def revenue_from_training(spark, sf):
-    return datasets.load_training(fx.ledger(spark, sf), "weekly", fx.AS_OF)[1]
+    return _revenue(datasets.load_training(fx.ledger(spark, sf), "weekly", fx.AS_OF)[1])
 
 
 # Purchase histories
