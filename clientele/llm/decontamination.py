@@ -14,8 +14,6 @@ from clientele.llm.common import fresh, whole_text
 from clientele.llm.words import WordHasher, bytes_of, ngrams, slices
 
 SEED_WORDS = 3
-#: Share of an item's seeds, the rarest in the documents, that find passages.
-RARE_SHARE = 0.5
 #: Alignment score over the item's number of words from which a passage is a copy.
 THRESHOLD = 0.5
 #: Words of test items that a task holds at a time; a larger benchmark is searched for in several passes.
@@ -24,6 +22,21 @@ BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 1, -1, -1
 
 
+def least_score(words, threshold: float):
+    """Lowest score of a copy of an item of so many words."""
+    return np.ceil(threshold * words - 1e-9).astype(np.int64)
+
+
+def fewest_shared(words, threshold: float):
+    """Fewest seeds of an item of so many words that a passage at the threshold shares, at least 0.
+
+    m matches and e edits score m - e; the matches form e + 1 runs at most, each of which has all but
+    SEED_WORDS - 1 of its words as beginnings of shared seeds.  The fewest are left when all words match and the
+    edits are words put in.
+    """
+    return np.maximum(0, 2 * least_score(words, threshold) - words - (SEED_WORDS - 1))
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Score of the best local alignment of two word sequences, and where it lies in the passage [from, to)."""
     columns = np.arange(len(passage) + 1)
@@ -62,18 +75,28 @@ class Items:
         self.seeds, self.item, self.place = seeds[order], item[order], (start - cuts[item])[order]
         self.distinct = np.unique(self.seeds)
 
-    def rare(self, counts: dict[int, int], share: float) -> None:
-        """Keep of each item the share of its seeds that fewest documents have; ties stay."""
-        number = np.array([counts.get(i, 0) for i in range(len(self.distinct))])
+    def needed(self, threshold: float) -> np.ndarray:
+        """How many of its n seeds an item needs: n - m + 1, so that none of m shared ones can miss them all."""
+        length = np.array([len(w) for w in self.words], np.int64)
+        number = np.bincount(self.item, minlength=len(self.ids))
+        return number - np.maximum(fewest_shared(length, threshold), 1) + 1
+
+    def rare(self, counts: dict[int, int], threshold: float) -> None:
+        """Keep of each item as many seeds as it needs, the rarest in the documents; ties stay.
+
+        Seeds of no document are shared with none: they go first and are not counted.
+        """
+        number = np.array([counts.get(i, 0) for i in range(len(self.distinct))], np.int64)
         number = number[np.searchsorted(self.distinct, self.seeds)]
+        found = number > 0
+        self.seeds, self.item, self.place, number = self.seeds[found], self.item[found], self.place[found], number[found]
         keep = np.zeros(len(self.seeds), bool)
         order = np.argsort(self.item, kind="stable")
         cuts = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for a, b in zip(cuts, cuts[1:]):
+        for a, b, least in zip(cuts, cuts[1:], self.needed(threshold)):
             own = order[a:b]
-            if len(own):
-                limit = np.sort(number[own])[max(0, int(np.ceil(share * len(own))) - 1)]
-                keep[own[number[own] <= limit]] = True
+            if len(own) and least > 0:
+                keep[own[number[own] <= np.sort(number[own])[least - 1]]] = True
         self.seeds, self.item, self.place = self.seeds[keep], self.item[keep], self.place[keep]
 
 
@@ -96,11 +119,14 @@ def _counted(items: Items):
     return rows
 
 
-def _passages(doc: np.ndarray, item: np.ndarray, place: np.ndarray, length: np.ndarray):
-    """(item, from, to) of the stretches of a text around its seeds; those of an item that overlap are one."""
+def _passages(doc: np.ndarray, item: np.ndarray, place: np.ndarray, length: np.ndarray, least: np.ndarray):
+    """(item, from, to) of the stretches of a text around its seeds; those of an item that overlap are one.
+
+    A copy has no more words put in than its item's words less its score.
+    """
     order = np.lexsort((doc - place, item))
     doc, item, place = doc[order], item[order], place[order]
-    slack = length[item] // 2 + 1
+    slack = length[item] - least[item] + 1
     low, high = doc - place - slack, doc - place + length[item] + slack
     fresh = np.r_[True, (item[1:] != item[:-1]) | (low[1:] > high[:-1])]
     first = np.flatnonzero(fresh)
@@ -108,14 +134,15 @@ def _passages(doc: np.ndarray, item: np.ndarray, place: np.ndarray, length: np.n
 
 
 def find_copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
-                rare_share: float = RARE_SHARE, block_words: int = BLOCK_WORDS, id_col: str = "doc_id",
+                block_words: int = BLOCK_WORDS, id_col: str = "doc_id",
                 text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """Documents with a copy, also an edited one, of a test item: a row for each pair.
 
-    Words are compared in lower case (A-Z).  An item's seeds are its 3-grams; the half of them that the fewest
-    documents have (counted over all documents) lead to the stretches of text around them, and each stretch
-    is aligned with the item by Smith-Waterman (match 1, other word or gap -1).  A pair is a copy if the
-    best score is at least `threshold` times the item's words.
+    Words are compared in lower case (A-Z).  An item's seeds are its 3-grams; the rarest in the documents (counted
+    over all of them) lead to the stretches of text around them, and each stretch is aligned with the item by
+    Smith-Waterman (match 1, other word or gap -1).  A pair is a copy if the best score is at least `threshold`
+    times the item's words.  As many seeds are used as it takes to meet every copy that shares a seed
+    (`fewest_shared`): all of them up to thresholds of about a half, where nothing is counted.
 
     Columns: the ids, `item_words`, `score` (share of the item's words), `first_word` and `end_word` (the best
     passage in the document, counted in words).  Items of under three words, NULL or empty, and texts without
@@ -138,9 +165,10 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESH
         items = Items(WordHasher(), [r["item"] for r in own], [r["text"] for r in own])
         if not len(items.seeds):
             continue
-        counts = (texts.select("text").mapInArrow(_counted(items), "seed long, texts long")
-                  .groupBy("seed").agg(F.sum("texts").alias("texts")).collect())
-        items.rare({r["seed"]: r["texts"] for r in counts}, rare_share)
+        if (items.needed(threshold) < np.bincount(items.item, minlength=len(items.ids))).any():
+            counts = (texts.select("text").mapInArrow(_counted(items), "seed long, texts long")
+                      .groupBy("seed").agg(F.sum("texts").alias("texts")).collect())
+            items.rare({r["seed"]: r["texts"] for r in counts}, threshold)
         found.append(texts.mapInArrow(_aligned(items, threshold, schema), schema))
     if not found:
         return spark.createDataFrame([], schema)
@@ -154,6 +182,16 @@ def _aligned(items: Items, threshold: float, schema: T.StructType):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         length = np.array([len(w) for w in items.words])
+        least = least_score(length, threshold)
+        own = [np.unique(w, return_counts=True) for w in items.words]
+
+        def within_reach(item: int, passage: np.ndarray) -> bool:
+            """Whether enough of the item's words, in any order, are in the passage; less cannot score enough."""
+            words, times = own[item]
+            place = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+            held = np.bincount(place[words[place] == passage], minlength=len(words))
+            return int(np.minimum(held, times).sum()) >= least[item]
+
         distinct, first = np.unique(items.seeds, return_index=True)
         many = np.diff(np.r_[first, len(items.seeds)])
         for whole in batches:
@@ -176,8 +214,10 @@ def _aligned(items: Items, threshold: float, schema: T.StructType):
                     words = hashes[cuts[i]:cuts[i + 1]]
                     best: dict[int, tuple[int, int, int]] = {}
                     for item, low, high in _passages(start[hits[a:b]] - cuts[i], items.item[which[a:b]],
-                                                     items.place[which[a:b]], length):
+                                                     items.place[which[a:b]], length, least):
                         low = max(0, int(low))
+                        if not within_reach(item, words[low:int(high)]):
+                            continue
                         score, begin, end = align(items.words[item], words[low:int(high)])
                         if score >= threshold * length[item] and score > best.get(item, (0,))[0]:
                             best[item] = (score, low + begin, low + end)

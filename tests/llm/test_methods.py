@@ -355,5 +355,29 @@ def test_edited_copies_are_found_and_others_are_not(spark, block_words):
     assert all(90 <= r["first_word"] <= 110 and r["score"] >= 0.5 for r in found)
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
+def test_copies_equal_aligning_every_pair_that_shares_a_seed(spark, threshold):
+    rng = random.Random(6)
+    items = {k: [f"i{k}w{j}" if rng.random() < 0.7 else rng.choice(["the", "of", "and"]) for j in range(rng.randint(16, 40))]
+             for k in range(40)}
+    docs = {}
+    for i in range(60):  # an edited copy of each item, and an exact one of half of them
+        around = [[rng.choice(["the", "of", "and", f"d{rng.randrange(500)}"]) for _ in range(60)] for _ in range(2)]
+        copy = list(items[i % 40])
+        if i < 40:
+            for at in rng.sample(range(len(copy)), int(len(copy) * rng.choice([0.2, 0.25]))):
+                copy[at] = f"new{rng.randrange(500)}" if i % 2 else f"{copy[at]} new{rng.randrange(500)}"
+        docs[i] = " ".join(around[0] + copy + around[1]).split()
+    number = {w: n for n, w in enumerate(sorted({w for words in [*docs.values(), *items.values()] for w in words}))}
+    coded = lambda words: np.array([number[w] for w in words])
+    seeds = lambda words: {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
+    expected = {(i, k) for i, words in docs.items() for k, item in items.items() if seeds(words) & seeds(item)
+                and align(coded(item), coded(words))[0] >= threshold * len(item)}
+    frame = lambda rows, names: spark.createDataFrame([(k, " ".join(w)) for k, w in rows.items()], names)
+    found = find_copies(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"), threshold)
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
+    assert {(i, i % 40) for i in range(40, 60)} < expected
+
+
 def test_registered_names():
     assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
