@@ -18,17 +18,15 @@ from clientele.llm.packing import END_OF_TEXT, PATTERN, RANKS
 from clientele.llm.words import WordHasher, bytes_of, slices
 
 #: Classes of next words, and symbols of words read; both have a place for the rest.
-CLASSES = 96
+CLASSES = 128
 SYMBOLS = 256
-WIDTH = 16
+WIDTH = 32
 #: Places that a window scores; it reads as many before them.
 BLOCK = 16
 #: Words whose counts go to every task; the others' counts are joined.
 FREQUENT = 1 << 17
-#: Of 64 windows of training texts, how many the weights are fitted to; and how often, over how many rounds.
-FIT_OF_64 = 8
-ROUNDS = 3
-WINDOWS_PER_PART = 8_000
+#: Windows of training texts, all of which the weights are fitted to once, that a part holds.
+WINDOWS_PER_PART = 64_000
 BATCH = 32
 RATE = 0.005
 #: Blocks scored at a time, so that their logits fit a processor's cache.
@@ -37,6 +35,7 @@ CHUNK = 256
 MEMORY = 200_000
 
 END_HASH = np.uint64(0x656E64)  # stands for the end of a text; words' hashes are spread over all 64 bits
+OUTSIDE = (1 << 32) - 1  # -1 as an unsigned number
 PAD, START = SYMBOLS - 1, SYMBOLS - 2  # symbols of places before a text and of its start
 
 
@@ -80,12 +79,9 @@ def _read(subwords: Subwords, hasher: WordHasher, batch: pa.RecordBatch):
 
 
 def _counted(lines: bytes):
-    """Rows of a task's training texts: (word, pair, count), and for the windows to fit to, their pairs.
-
-    A window is 2 * BLOCK tokens, one byte string of 32-bit numbers; places outside the text are -1.
-    """
+    """(word, pair, count) of a task's training texts."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subwords, hasher, rng = Subwords(lines), WordHasher(), np.random.default_rng(5)
+        subwords, hasher = Subwords(lines), WordHasher()
         held: list[tuple[np.ndarray, ...]] = []
 
         def merged():
@@ -95,9 +91,8 @@ def _counted(lines: bytes):
 
         for whole in batches:
             for batch in slices(whole, 0):
-                words, pairs, tokens, counts = _read(subwords, hasher, batch)
+                words, pairs, tokens, _ = _read(subwords, hasher, batch)
                 held.append((words, pairs, np.bincount(tokens, minlength=len(words))))
-                yield windows(pairs[tokens], counts, rng)
                 if len(held) >= 8:
                     held = [merged()]
                     if len(held[0][0]) > 300_000:
@@ -106,20 +101,28 @@ def _counted(lines: bytes):
         if held:
             yield out(*merged())
 
-    def windows(pairs, counts, rng) -> pa.RecordBatch:
-        placed, scored, _ = _places(pairs, counts)
-        pick = scored[rng.integers(0, 64, len(scored)) < FIT_OF_64]
-        # The token before a window's first place is read at that place.
-        both = np.concatenate([np.where(pick >= 2, placed[pick - 2, -1], -1)[:, None], placed[pick - 1], placed[pick]],
-                              axis=1).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(len(pick), pa.int64())] * 3 + [pa.array([w.tobytes() for w in both], pa.binary())], names)
-
     def out(words, pairs, times) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(pairs), pa.array(times),
-                                           pa.nulls(len(words), pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(pairs), pa.array(times)],
+                                          ["word", "pair", "count"])
+    return rows
+
 
-    names = ["word", "pair", "count", "window"]
+def _windows(lines: bytes):
+    """All windows of a task's training texts, by the pairs of their tokens.
+
+    A window is 2 * BLOCK tokens and the one before, one byte string of unsigned 32-bit numbers; places outside the
+    text are OUTSIDE.  The second half is scored, and each token of a text is in one such half.
+    """
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        subwords, hasher = Subwords(lines), WordHasher()
+        for whole in batches:
+            for batch in slices(whole, 0):
+                _, pairs, tokens, counts = _read(subwords, hasher, batch)
+                placed, scored, _ = _places(pairs[tokens], counts)
+                # The token before a window's first place is read at that place.
+                both = np.concatenate([np.where(scored >= 2, placed[scored - 2, -1], -1)[:, None], placed[scored - 1],
+                                       placed[scored]], axis=1).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays([pa.array([w.tobytes() for w in both], pa.binary())], ["window"])
     return rows
 
 
@@ -307,8 +310,9 @@ class Attention:
             g[name] = flat(x).T @ flat(both)
             d_x += both @ w[name].T
         for name, symbols in (("first", one), ("last", two)):
-            g[name] = np.zeros_like(w[name])
-            np.add.at(g[name], symbols.ravel(), flat(d_x))
+            places = symbols.ravel().astype(np.int64)[:, None] * WIDTH + np.arange(WIDTH)
+            g[name] = np.bincount(places.ravel(), weights=d_x.ravel(), minlength=w[name].size).reshape(
+                w[name].shape).astype(w[name].dtype)
         return g
 
     def fit(self, one, two, told, rng: np.random.Generator) -> None:
@@ -340,16 +344,17 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _fitted(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
+def _fitted(flat: np.ndarray, vocabulary: Vocabulary):
     """A part's weights after a pass over its windows, in pieces, times its number of windows."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = [w for batch in batches for w in batch.column(0).to_pylist()]
         if not windows:
             return
-        placed = np.frombuffer(b"".join(windows), np.int32).reshape(len(windows), 2 * BLOCK + 1).astype(np.int64)
+        placed = np.frombuffer(b"".join(windows), np.uint32).reshape(len(windows), 2 * BLOCK + 1).astype(np.int64)
+        placed[placed == OUTSIDE] = -1
         one, two, told = (a.reshape(-1, BLOCK) for a in _symbols(vocabulary, placed))
         model = Attention(_shaped(flat))
-        model.fit(one, two, told, np.random.default_rng(turn))
+        model.fit(one, two, told, np.random.default_rng(0))
         new = _flat(model.w).astype(np.float64) * len(windows)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(new))), pa.array(new), pa.array(np.full(len(new), len(windows)))],
@@ -357,23 +362,19 @@ def _fitted(flat: np.ndarray, vocabulary: Vocabulary, turn: int):
     return rows
 
 
-def train(windows: DataFrame, vocabulary: Vocabulary, prior: np.ndarray) -> np.ndarray:
-    """Weights fitted in rounds: each part of the windows goes on from the same weights, then they are averaged.
+def train(windows: DataFrame, number: int, vocabulary: Vocabulary, prior: np.ndarray) -> np.ndarray:
+    """Weights fitted to all windows, about `number`: each part goes on from the same weights, then they are averaged.
 
-    The number of windows and of parts grows with the texts; sums are made by Spark, and one set of weights
-    (a fixed number) comes to the driver each round.
+    The number of parts grows with the texts; sums are made by Spark, and one set of weights (a fixed number)
+    comes to the driver.
     """
     flat = _flat(Attention.start(prior))
-    number = windows.count()
-    parts = max(1, -(-number // WINDOWS_PER_PART))
     # Dealt by turns, so that copies of a text do not meet in one part.
-    dealt = saved(windows.repartition(parts).withColumn("part", F.spark_partition_id()), "lm-parts")
-    for turn in range(ROUNDS if number else 0):
-        sums = (dealt.repartition(parts, "part").sortWithinPartitions("part", F.xxhash64("window")).select("window")
-                .mapInArrow(_fitted(flat, vocabulary, turn), "place long, weight double, windows long")
-                .groupBy("place").agg(F.sum("weight").alias("weight"), F.sum("windows").alias("windows")))
-        for r in sums.collect():
-            flat[r["place"]] = r["weight"] / r["windows"]
+    sums = (windows.repartition(max(1, -(-number // WINDOWS_PER_PART))).sortWithinPartitions(F.xxhash64("window"))
+            .mapInArrow(_fitted(flat, vocabulary), "place long, weight double, windows long")
+            .groupBy("place").agg(F.sum("weight").alias("weight"), F.sum("windows").alias("windows")))
+    for r in sums.collect():
+        flat[r["place"]] = r["weight"] / r["windows"]
     return flat
 
 
@@ -436,11 +437,10 @@ def score_texts(docs: DataFrame, held_out, ranks: str = RANKS, id_col: str = "do
     texts = docs.select(whole_text(F.col(text_col)).alias("text"), F.col(id_col).alias("id"),
                         held_out.alias("held_out"))
     training = texts.where("NOT held_out")
-    read = saved(training.select("text").mapInArrow(
-        _counted(lines), "word long, pair long, count long, window binary"), "lm-read")
-    counts = saved(read.where("word IS NOT NULL").groupBy("word", "pair").agg(F.sum("count").alias("count")),
-                   "lm-counts")
-    n, v = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
+    counts = saved(training.select("text").mapInArrow(_counted(lines), "word long, pair long, count long")
+                   .groupBy("word", "pair").agg(F.sum("count").alias("count")), "lm-counts")
+    ended = F.sum(F.when(F.col("word") == int(END_HASH), F.col("count")))
+    n, v, ends = counts.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*"), F.coalesce(ended, F.lit(0))).first()
     vocabulary = _vocabulary(counts)
 
     # Sizes of the classes, a row for each.
@@ -452,7 +452,8 @@ def score_texts(docs: DataFrame, held_out, ranks: str = RANKS, id_col: str = "do
     for r in inside:
         size[r["class"]] = r["n"] + 0.5 * (r["v"] + 1)
         mass[r["class"]] = r["n"] + 0.5
-    flat = train(read.where("window IS NOT NULL").select("window"), vocabulary, mass / mass.sum())
+    flat = train(training.select("text").mapInArrow(_windows(lines), "window binary"), n // BLOCK + ends, vocabulary,
+                 mass / mass.sum())
 
     head = counts.orderBy(F.desc("count"), "word").limit(FREQUENT).select("word", "count").collect()
     frequent = np.array([r["word"] for r in head], np.int64).view(np.uint64)

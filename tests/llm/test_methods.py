@@ -225,6 +225,18 @@ def test_attention_gradients():
             assert gradient[at] == pytest.approx((change[0] - change[1]) / 2e-4, rel=1e-3, abs=1e-6), name
 
 
+def test_weights_are_fitted_to_every_token():
+    lm, rng = language_model, random.Random(3)
+    with open(lm.RANKS, "rb") as file:
+        lines = file.read()
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(n)) for n in (0, 1, 15, 16, 17, 31, 32, 200, 1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    _, pairs, tokens, counts = lm._read(lm.Subwords(lines), WordHasher(), batch)
+    windows = [np.frombuffer(w, np.uint32) for out in lm._windows(lines)(iter([batch])) for w in out.column(0).to_pylist()]
+    told = np.concatenate([w[-lm.BLOCK:] for w in windows])
+    assert told[told != lm.OUTSIDE].tolist() == pairs[tokens].tolist() and len(windows) == sum(-(-counts // lm.BLOCK))
+
+
 def test_language_model_counts_and_held_out_texts(spark, texts):
     counts = collections.Counter()
     for name, text in texts.items():
