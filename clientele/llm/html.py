@@ -52,6 +52,11 @@ MARKS = frozenset("""
     widget widgets
 """.split())
 
+#: Factor of a path's ratios within an article or main element.
+FRAME_PRIOR = 2.0
+#: Deviations of the fused ratio under which a path is no content.
+CUT = 0.1
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|"
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -83,7 +88,7 @@ def _set_apart(name: str, attributes: str, inside_article: bool) -> bool:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
         elif not MARKS.isdisjoint(_SPLIT.split(_CAMEL.sub("-", value).lower())):
-            return name not in ("html", "body", "article", "main")
+            return name not in ("html", "body", "main")
     return False
 
 
@@ -182,22 +187,20 @@ def content_blocks(blocks: list[Block]) -> list[bool]:
     smoothed along the page by a Gaussian, divided by their means and fused as a product.  Blocks in
     elements that are never part of an article count as nothing and are not chosen.  Content are the blocks
     of paths whose fused ratio is over the threshold (a fraction of the deviation over all blocks),
-    and headings between them; when an article or main element has text, only what is in it.
+    and headings.  Paths in an article or main element have their ratios raised by a fixed factor.
     """
     keep = [not b.apart for b in blocks]
-    framed = [k and ("/article" in b.path or "/main" in b.path) for k, b in zip(keep, blocks)]
-    if any(framed):
-        keep = framed
     if not any(keep):
         return keep
-    length: dict[str, int] = {}
-    marks: dict[str, int] = {}
+    length: dict[str, float] = {}
+    marks: dict[str, float] = {}
     number: dict[str, int] = {}
     for block, kept in zip(blocks, keep):
         if kept:
+            prior = FRAME_PRIOR if "/article" in block.path or "/main" in block.path else 1.0
             number[block.path] = number.get(block.path, 0) + 1
-            length[block.path] = length.get(block.path, 0) + len(block.parts[0])
-            marks[block.path] = marks.get(block.path, 0) + len(_PUNCTUATION.findall(block.parts[0]))
+            length[block.path] = length.get(block.path, 0) + prior * len(block.parts[0])
+            marks[block.path] = marks.get(block.path, 0) + prior * len(_PUNCTUATION.findall(block.parts[0]))
     ratio = lambda total: np.array([total[b.path] / number[b.path] if k else 0.0
                                     for b, k in zip(blocks, keep)])
     texts, points = _smoothed(ratio(length)), _smoothed(ratio(marks))
@@ -206,8 +209,7 @@ def content_blocks(blocks: list[Block]) -> list[bool]:
     for block, kept, value in zip(blocks, keep, fused):
         if kept:
             best[block.path] = max(best.get(block.path, 0.0), value)
-    # Inside an article's own element only what has no share at all falls below.
-    threshold = 0.0 if any(framed) else 0.1 * float(np.std(fused))
+    threshold = CUT * float(np.std(fused))
     return [k and (b.heading or best[b.path] >= threshold) for b, k in zip(blocks, keep)]
 
 
