@@ -198,6 +198,21 @@ def test_near_groups_of_one_large_cluster_in_blocks(spark, monkeypatch):
     assert {tuple(r) for r in jaccard.near_groups(df).collect()} == _near(docs)
 
 
+def test_prefix_tokens_that_become_one_number_ask_for_fewer_matches():
+    number, high = 40, 1 << 32
+    tokens = np.arange(1, number + 1)
+    asked = []
+    for same in (0, 3):
+        own = tokens.copy()
+        own[1:1 + same] = own[0] + high * np.arange(1, same + 1)
+        items = pa.StructArray.from_arrays([pa.array(np.full(number, 2)), pa.array(own)], ["frequency", "token"])
+        batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([number]), pa.ListArray.from_arrays(
+            pa.array([0, number], pa.int32()), items)], ["set", "n", "list"])
+        out = next(jaccard._prefixes(75)(iter([batch])))
+        asked.append((out.column(1)[0].as_py(), len(out.column(3)[0])))
+    assert asked[1][1] == asked[0][1] and asked[0][0] > 3 and asked[1][0] == asked[0][0] - 3
+
+
 # 5: language model
 
 def test_attention_gradients():
