@@ -17,6 +17,7 @@ from clientele.llm.licenses import license_scan
 from clientele.llm.packing import pack_tokens
 from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import learn_from_fold, quality_scores
+from clientele.llm.search import ranked_search
 from clientele.llm.sharding import shuffle_into_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +112,27 @@ def op4_jaccard_join(spark, sf):
 def op5_language_model(spark, sf):
     """Every document's log-probability, learnt from four fifths of them."""
     return score_texts(table(spark, sf, "documents"), held_out_fold())
+
+
+@register("op11_ranked_search", r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+         i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+         a AS (SELECT count(*) AS big_n, CAST(sum(len(t)) AS BIGINT) AS big_l FROM d WHERE len(t) > 0),
+         p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d)
+               WHERE term IN (SELECT term FROM i) GROUP BY r, term),
+         w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+               FROM p, a GROUP BY term, big_n),
+         s AS (SELECT i.item_id, d.doc_id, p.r, CAST(sum(w.w * ((1000000000 * tf)
+                   // (1000 * tf + 8 * (10 + (90 * len(d.t) * big_n) // big_l)))) AS BIGINT) AS score
+               FROM i JOIN p USING (term) JOIN w USING (term) JOIN d ON d.r = p.r, a
+               GROUP BY i.item_id, d.doc_id, p.r),
+         k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id
+                   ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score FROM s WHERE score > 0)
+    SELECT * FROM k WHERE rank <= 10""")
+def op11_ranked_search(spark, sf):
+    """The ten best documents of every benchmark item."""
+    return ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
