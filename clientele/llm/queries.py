@@ -19,6 +19,7 @@ from clientele.llm.pieces import encode_pieces
 from clientele.llm.quality import learn_from_fold, quality_scores
 from clientele.llm.search import ranked_search
 from clientele.llm.sharding import shuffle_into_shards
+from clientele.llm.urls import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,3 +137,68 @@ def op5_language_model(spark, sf):
 def op11_ranked_search(spark, sf):
     """The ten best documents of every benchmark item."""
     return ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def _level(long: int) -> str:
+    return f"""
+         l{long} AS (SELECT o.class, o.gram, o.passed, s.p AS shorter, times / (n + d) + o.passed * s.p AS p
+                FROM o JOIN l{long - 1} s ON s.class = o.class AND s.gram = substring(o.gram, 2) WHERE long = {long})"""
+
+
+@register("op13_url_filter", r"""
+    WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+         v AS (SELECT *, host || path AS text, CASE
+                   WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com'))
+                       AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                   WHEN (host = 'example.com' OR ends_with(host, '.example.com'))
+                       AND starts_with(path, '/en/') THEN 'example.com/en/'
+                   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                   WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/'
+                   END AS rule FROM u),
+         t AS (SELECT text, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+                   WHEN rule IS NOT NULL THEN 'block' END AS class, count(*) AS weight,
+                   substring(md5(text), 1, 1) IN ('0', '1', '2') AS apart FROM v GROUP BY ALL),
+         a AS (SELECT *, unnest(generate_series(1, length(text) + 2)) AS i FROM t),
+         b AS (SELECT *, unnest(generate_series(1, least(5, i))) AS k FROM a),
+         g AS (SELECT text, class, weight, apart,
+                   substring(chr(2) || text || chr(3), i - k + 1, k) AS gram FROM b),
+         m AS (SELECT class, sum(weight * (length(text) + 2)) AS total FROM t
+               WHERE class IS NOT NULL AND NOT apart GROUP BY class),
+         c AS (SELECT class, gram, length(gram) AS long, sum(weight) AS times FROM g JOIN m USING (class)
+               WHERE NOT apart GROUP BY class, gram, total HAVING sum(weight) * 32768 >= total),
+         x AS (SELECT class, substring(gram, 1, long - 1) AS context, sum(times) AS n, count(*) AS d
+               FROM c GROUP BY ALL),
+         o AS (SELECT c.*, n, d, d / (n + d) AS passed FROM c
+               JOIN x ON x.class = c.class AND x.context = substring(gram, 1, long - 1)),
+         l1 AS (SELECT class, gram, passed, 1 / 65536 AS shorter, times / (n + d) + passed / 65536 AS p
+                FROM o WHERE long = 1),""" + ",".join(map(_level, range(2, 6))) + r""",
+         w AS (SELECT gram, sum(CASE class WHEN 'allow' THEN weight ELSE -weight END) AS weight FROM (
+                   SELECT class, gram, ln(p) - ln(shorter) - ln(passed) AS weight FROM (FROM l1 UNION ALL FROM l2
+                       UNION ALL FROM l3 UNION ALL FROM l4 UNION ALL FROM l5)
+                   UNION ALL SELECT class, context, ln(d / (n + d)) FROM x) GROUP BY gram),
+         q AS (SELECT text, class, sum(weight_of) AS s FROM (
+                   SELECT text, class, w.weight AS weight_of FROM g JOIN w USING (gram) WHERE class IS NULL OR apart)
+               GROUP BY text, class),
+         f AS (SELECT t.text, t.class, t.weight, greatest(least(floor(round((coalesce(s, 0)
+                   + (length(t.text) + 2) * (SELECT weight FROM w WHERE gram = '')) / (length(t.text) + 2), 9) * 100),
+                   2000), -2000) AS bin
+               FROM t LEFT JOIN q ON q.text = t.text AND q.class IS NOT DISTINCT FROM t.class
+               WHERE t.class IS NULL OR apart),
+         z AS (SELECT cut FROM f, (SELECT unnest(generate_series(-2000, 2001)) AS cut) WHERE class IS NOT NULL
+               GROUP BY cut ORDER BY round(sum(weight) FILTER (class = 'allow' AND bin >= cut)
+                   / sum(weight) FILTER (class = 'allow') + coalesce(sum(weight) FILTER (class = 'block' AND bin < cut), 0)
+                   / sum(weight) FILTER (class = 'block'), 12) DESC NULLS LAST, abs(cut), cut LIMIT 1)
+    SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+               WHEN rule IS NOT NULL OR bin < cut THEN 'block' ELSE 'allow' END AS verdict
+    FROM v LEFT JOIN f ON f.text = v.text AND f.class IS NULL AND v.rule IS NULL, z""")
+def op13_url_filter(spark, sf):
+    """Every page's verdict: by the longest rule that fits its URL, else by the two language models."""
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
