@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm.common import crc_of_id, table, whole_text
+from clientele.llm.common import crc_of_id, saved, table, whole_text
+from clientele.llm.conversations import audit_conversations, damaged, repaired_digests
 from clientele.llm.decontamination import find_copies
 from clientele.llm.exact_dedup import exact_groups
 from clientele.llm.html import extract_text
@@ -202,3 +203,20 @@ def op13_url_filter(spark, sf):
     """Every page's verdict: by the longest rule that fits its URL, else by the two language models."""
     pages = table(spark, sf, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op12_conversation_repair")
+def op12_conversation_repair(spark, sf):
+    """Faults and the cheapest repair of every conversation, damaged by the contract's rule."""
+    conversations = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    rows = damaged(conversations)
+    audits = saved(audit_conversations(rows), "conversation-audits")
+    hashed = repaired_digests(rows, audits)
+    everyone = conversations.select(F.col("conv_id").alias("original")).distinct()
+    found = audits.withColumnRenamed("conv_id", "audited").join(
+        hashed, F.col("audited").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    counts = [F.coalesce(n, F.lit(0).cast("bigint")).alias(n)
+              for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return everyone.join(found, F.col("original").eqNullSafe(F.col("audited")), "left").select(
+        F.col("original").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
