@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import fresh, saved
+from clientele.llm.common import fresh, partitions_for, saved
 
 #: Longest context, in characters.
 ORDER = 4
@@ -27,6 +27,8 @@ APART = ("0", "1", "2")
 BINS = 2000
 #: Characters of a text that are cut into substrings at a time.
 PIECE = 512
+#: Texts of a task.
+TEXTS = 10_000
 #: Probability of a character before anything is counted; the same in both models.
 UNIFORM = 1 / 65536
 
@@ -96,7 +98,8 @@ def gram_weights(grams: DataFrame) -> DataFrame:
     contexts = grams.groupBy("class", F.expr("substring(gram, 1, long - 1)").alias("context")).agg(
         F.sum("times").alias("n"), F.count(F.lit(1)).alias("distinct"))
     contexts = contexts.withColumn("passed", F.col("distinct") / (F.col("n") + F.col("distinct")))
-    own = grams.withColumn("context", F.expr("substring(gram, 1, long - 1)")).join(contexts, ["class", "context"])
+    own = saved(grams.withColumn("context", F.expr("substring(gram, 1, long - 1)"))
+                .join(contexts, ["class", "context"]), "url-contexts")
     level = own.where("long = 1").withColumn("shorter", F.lit(UNIFORM))
     levels = []
     for long in range(1, ORDER + 2):
@@ -188,8 +191,10 @@ def judge_urls(pages: DataFrame, rules: Rules, url_col: str = "url") -> DataFram
 def text_ratios(texts: DataFrame) -> tuple[DataFrame, int]:
     """(text, ratio) of the texts without a class, and the lowest bin that is allowed.
 
-    `texts` has `text`, `class` (allow, block or NULL) and `weight`.
+    `texts` has `text`, `class` (allow, block or NULL) and `weight`.  They are dealt out by their number: each gives
+    some hundred substrings.
     """
+    texts = texts.repartition(partitions_for(texts.count(), TEXTS, texts.sparkSession), "text")
     known = dict(texts.where("class IS NOT NULL").groupBy("class").agg(F.sum("weight")).collect())
     unknown = texts.where("class IS NULL").select("text")
     if len(known) < 2:
