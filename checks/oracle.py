@@ -7,6 +7,7 @@ where Spark aggregates, gamma-function series where Spark sums to a tolerance.
 from __future__ import annotations
 
 import re
+from types import SimpleNamespace
 
 from checks.parameters import BG, GG, PARETO
 
@@ -168,18 +169,18 @@ def _gauss(a: str, b: str, c: str, z: str, terms: int = 250) -> str:
             f"+ n * ln({z}))))")
 
 
-def bg_alive() -> str:
-    r, al, a, b = BG.r, BG.alpha, BG.a, BG.b
+def bg_alive(m=BG) -> str:
+    r, al, a, b = m.r, m.alpha, m.a, m.b
     return (f"(CASE WHEN frequency > 0 THEN 1 / (1 + {a} / ({b} + frequency - 1) "
             f"* (({al} + T) / ({al} + recency)) ** ({r} + frequency)) ELSE 1.0 END)")
 
 
-def bg_purchases(t: float) -> str:
-    r, al, a, b = BG.r, BG.alpha, BG.a, BG.b
+def bg_purchases(t: float, m=BG) -> str:
+    r, al, a, b = m.r, m.alpha, m.a, m.b
     f = _gauss(f"({r} + frequency)", f"({b} + frequency)", f"({a} + {b} + frequency - 1)",
                f"({t} / ({al} + T + {t}))")
     return (f"(({a} + {b} + frequency - 1) / ({a} - 1) "
-            f"* (1 - (({al} + T) / ({al} + T + {t})) ** ({r} + frequency) * {f}) * {bg_alive()})")
+            f"* (1 - (({al} + T) / ({al} + T + {t})) ** ({r} + frequency) * {f}) * {bg_alive(m)})")
 
 
 def pareto_alive() -> str:
@@ -200,8 +201,8 @@ def pareto_purchases(t: float) -> str:
             f"* (1 - (({be} + T) / ({be} + T + {t})) ** ({s} - 1)) * {pareto_alive()})")
 
 
-def average_value() -> str:
-    p, q, v = GG.p, GG.q, GG.v
+def average_value(m=GG) -> str:
+    p, q, v = m.p, m.q, m.v
     return (f"(({q} - 1) / ({p} * frequency + {q} - 1) * {p} * {v} / ({q} - 1) "
             f"+ {p} * frequency / ({p} * frequency + {q} - 1) * monetary_value)")
 
@@ -234,10 +235,10 @@ def _lifetime(months: int = 6, discount: float = 0.01) -> str:
                       for i, (now, then) in enumerate(zip(purchases, before), 1))
 
 
-def _scored(source: str) -> str:
-    steps = ", ".join(f"{bg_purchases(float(i))} AS e{i}" for i in range(1, 7))
+def _scored(source: str, bg=BG, gg=GG) -> str:
+    steps = ", ".join(f"{bg_purchases(float(i), bg)} AS e{i}" for i in range(1, 7))
     return f"""
-        SELECT userId, current_total_revenue, 1 - {bg_alive()} AS churn, {average_value()} * ({_lifetime()}) AS forecast
+        SELECT userId, current_total_revenue, 1 - {bg_alive(bg)} AS churn, {average_value(gg)} * ({_lifetime()}) AS forecast
         FROM (SELECT *, {steps} FROM {source})"""
 
 
@@ -273,6 +274,145 @@ def segmented(source: str) -> str:
             f"FROM {source}")
 
 
+# Fits: a damped Newton search as a recursive query.  Slopes come from differences of the objective itself.
+
+_DELTA = 1e-3
+_FLOOR = "ln(1e-8)"
+_NODES = 24
+
+_LIKELIHOODS = {
+    "bgnbd": (("r", "alpha", "a", "b"), """
+        lgamma(r + x) - lgamma(r) + r * ln(alpha) + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
+        - (r + x) * ln(alpha + t) + CASE WHEN x > 0
+            THEN ln(1 + a / (b + x - 1) * ((alpha + t) / (alpha + tx)) ** (r + x)) ELSE 0 END"""),
+    # The time when a customer left is integrated by Gauss and Legendre's rule.
+    "pareto_nbd": (("r", "alpha", "s", "beta"), """
+        lgamma(r + x) - lgamma(r) + r * ln(alpha) + s * ln(beta) - (r + x) * ln(alpha + t) - s * ln(beta + t)
+        + ln(1 + s * (t - tx) / 2 * list_sum(list_transform(nodes, lambda n: n[2]
+            * ((alpha + t) / (alpha + tx + (t - tx) * (1 + n[1]) / 2)) ** (r + x)
+            * ((beta + t) / (beta + tx + (t - tx) * (1 + n[1]) / 2)) ** s
+            / (beta + tx + (t - tx) * (1 + n[1]) / 2))))"""),
+    "gamma_gamma": (("p", "q", "v"), """
+        lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m) + p * x * ln(x)
+        - (p * x + q) * ln(x * m + v)"""),
+}
+
+
+def _stencil(n: int) -> list[list[float]]:
+    """Offsets for a fourth-order gradient and a second-order Hessian."""
+    def at(*moves: tuple[int, float]) -> list[float]:
+        return [sum(size * _DELTA for i, size in moves if i == k) for k in range(n)]
+
+    points = [at()]
+    for i in range(n):
+        points += [at((i, 1)), at((i, -1)), at((i, 2)), at((i, -2))]
+    for i in range(n):
+        for j in range(i):
+            points += [at((i, 1), (j, 1)), at((i, -1), (j, -1))]
+    return points
+
+
+def fitted(kind: str, penalizer: float = 0.03, source: str = "month_repeat", digits: int = 4) -> str:
+    """The parameters that maximise the mean log-likelihood less the penalty, each on a row."""
+    return (f"SELECT parameter, round(value, {digits}) AS value, CAST(customers AS BIGINT) AS n_customers, "
+            f"round(mean, 4) AS mean_log_likelihood, true AS converged FROM ({_search(kind, penalizer, source)})")
+
+
+def _search(kind: str, penalizer: float, source: str) -> str:
+    names, formula = _LIKELIHOODS[kind]
+    n, timed = len(names), kind != "gamma_gamma"
+    points = _stencil(n)
+    up = [2 + 4 * i for i in range(n)]  # places in the list of values, from 1
+    gradient = [f"(8 * (v[{u}] - v[{u + 1}]) - (v[{u + 2}] - v[{u + 3}])) / {12 * _DELTA}" for u in up]
+    hessian, mixed = {}, iter(range(2 + 4 * n, len(points) + 1, 2))
+    for i in range(n):
+        hessian[i, i] = f"(v[{up[i]}] + v[{up[i] + 1}] - 2 * v[1]) / {_DELTA ** 2}"
+    for i in range(n):
+        for j in range(i):
+            k, (a, b) = next(mixed), (up[i], up[j])
+            hessian[i, j] = hessian[j, i] = (f"(v[{k}] + v[{k + 1}] - v[{a}] - v[{a + 1}] - v[{b}] - v[{b + 1}] "
+                                             f"+ 2 * v[1]) / {2 * _DELTA ** 2}")
+    # What is at the floor and pulled below it stays there.
+    held = [f"(spot[{i + 1}] <= {_FLOOR} + 1e-9 AND g[{i + 1}] > 0)" for i in range(n)]
+    cells = ", ".join(
+        f"CASE WHEN {held[i]} OR {held[j]} THEN {1.0 if i == j else 0.0} ELSE h[{i * n + j + 1}]"
+        + (f" + mu * (abs(h[{i * n + j + 1}]) + 1e-12)" if i == j else "") + f" END AS m{i}{j}"
+        for i in range(n) for j in range(n))
+    sides = ", ".join(f"CASE WHEN {held[i]} THEN 0.0 ELSE -g[{i + 1}] END AS y{i}" for i in range(n))
+    solving = f"SELECT *, {cells}, {sides} FROM judged"
+    for k in range(n):  # elimination, a column at a time
+        lower = ", ".join([f"m{i}{j} - m{i}{k} / m{k}{k} * m{k}{j} AS m{i}{j}"
+                           for i in range(k + 1, n) for j in range(k + 1, n)]
+                          + [f"y{i} - m{i}{k} / m{k}{k} * y{k} AS y{i}" for i in range(k + 1, n)])
+        if lower:
+            solving = f"SELECT * REPLACE ({lower}) FROM ({solving})"
+    for k in reversed(range(n)):
+        known = "".join(f" - m{k}{j} * z{j}" for j in range(k + 1, n))
+        solving = f"SELECT *, (y{k}{known}) / m{k}{k} AS z{k} FROM ({solving})"
+    step = ", ".join(f"greatest({_FLOOR}, spot[{i + 1}] + greatest(-2, least(2, coalesce(nullif(z{i}, 'nan'), 0))))"
+                     for i in range(n))
+    params = ", ".join(f"exp(cand[{i + 1}] + off[{i + 1}]) AS {name}" for i, name in enumerate(names))
+    penalty = " + ".join(f"exp(2 * (any_value(cand[{i + 1}]) + any_value(off[{i + 1}])))" for i in range(n))
+    apart = "greatest(" + ", ".join(f"abs(cand[{i + 1}] - spot[{i + 1}])" for i in range(n)) + ")"
+    scale = f"(SELECT 10.0 / max(T) FROM {source})" if timed else "1.0"
+    nodes = ""
+    if kind == "pareto_nbd":
+        import numpy as np
+        nodes_at, weight = np.polynomial.legendre.leggauss(_NODES)
+        nodes = "[" + ", ".join(f"[{a!r}, {w!r}]" for a, w in zip(nodes_at.tolist(), weight.tolist())) + "]"
+    rates = {"alpha", "beta"}
+    values = " UNION ALL ".join(
+        f"SELECT '{name}' AS parameter, exp(spot[{i + 1}])" + (f" / {scale}" if name in rates else "")
+        + " AS value, customers, mean FROM last" for i, name in enumerate(names))
+    return f"""
+        WITH RECURSIVE
+          hist AS MATERIALIZED (SELECT frequency AS x, recency * {scale} AS tx, T * {scale} AS t,
+              monetary_value AS m, count(*) AS w FROM {source} GROUP BY ALL),
+          points AS MATERIALIZED (SELECT unnest({list(range(len(points)))}) AS id, unnest({points}::DOUBLE[][]) AS off),
+          size AS MATERIALIZED (SELECT sum(w) AS customers FROM hist),
+          search(i, spot, f, g, h, mu, cand) AS (
+            SELECT 0, {[0.0] * n}::DOUBLE[], 'inf'::DOUBLE, {[0.0] * n}::DOUBLE[], {[0.0] * n * n}::DOUBLE[],
+              0.01::DOUBLE, {[0.0] * n}::DOUBLE[]
+            UNION ALL
+            (WITH tried AS (
+                SELECT id, any_value(s.i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
+                  any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand,
+                  {penalizer} * ({penalty}) - sum(w * ({formula})) / any_value(customers) AS value
+                FROM (SELECT *, {params} {', ' + nodes + ' AS nodes' if nodes else ''}
+                      FROM search, points, hist, size WHERE i = 0 OR (i < 45 AND {apart} > 1e-8)) s GROUP BY id),
+              valued AS (SELECT any_value(i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
+                  any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand, list(value ORDER BY id) AS v
+                FROM tried HAVING count(*) > 0),
+              judged AS (SELECT i + 1 AS i,
+                  CASE WHEN better THEN cand ELSE spot END AS spot, CASE WHEN better THEN v[1] ELSE f END AS f,
+                  CASE WHEN better THEN [{', '.join(gradient)}] ELSE g END AS g,
+                  CASE WHEN better THEN [{', '.join(hessian[i, j] for i in range(n) for j in range(n))}] ELSE h END AS h,
+                  CASE WHEN better THEN mu / 8 ELSE mu * 4 END AS mu
+                FROM (SELECT *, coalesce(v[1] < f, false) AS better FROM valued))
+             SELECT i, spot, f, g, h, mu, [{step}] FROM ({solving}))),
+          last AS (SELECT spot, customers, {{mean}} AS mean FROM search, size ORDER BY i DESC LIMIT 1)
+        {values}""".replace("{mean}", f"{penalizer} * ({' + '.join(f'exp(2 * spot[{i + 1}])' for i in range(n))}) - f"
+                            + (f" + (SELECT sum(w * x) FROM hist) / customers * ln({scale})" if timed else ""))
+
+
+def _as_columns(kind: str) -> str:
+    """The fitted parameters as one row, named fit_..."""
+    return "SELECT " + ", ".join(f"max(value) FILTER (WHERE parameter = '{n}') AS fit_{n}"
+                                 for n in _LIKELIHOODS[kind][0]) + f" FROM ({_search(kind, 0.03, 'month_repeat')})"
+
+
+def _fit_names(kind: str) -> SimpleNamespace:
+    return SimpleNamespace(**{n: f"fit_{n}" for n in _LIKELIHOODS[kind][0]})
+
+
+_TABLES |= {
+    "fitted_purchases": _as_columns("bgnbd"), "fitted_values": _as_columns("gamma_gamma"),
+    "weekly_input": "SELECT * FROM month_repeat, fitted_purchases, fitted_values",
+    "weekly_scored": _scored("weekly_input", _fit_names("bgnbd"), _fit_names("gamma_gamma")),
+    "weekly_predicted": _output("weekly_scored"),
+}
+
+
 def query(select: str) -> str:
     """A SELECT preceded by the named tables it uses, directly or through others."""
     needed: dict[str, None] = {}

@@ -386,15 +386,15 @@ def published_table(spark, sf):
 # Fits
 
 def _fitted(spark, result: Fit) -> DataFrame:
-    """One row per parameter of the fitted model."""
-    rows = [(name, value, result.n_customers, result.log_likelihood / result.n_customers,
+    """One row per parameter of the fitted model, to four decimals."""
+    rows = [(name, round(value, 4), result.n_customers, round(result.log_likelihood / result.n_customers, 4),
              result.converged) for name, value in vars(result.model).items()]
     return spark.createDataFrame(rows, "parameter string, value double, n_customers long, "
                                        "mean_log_likelihood double, converged boolean")
 
 
 def _fits(name: str, fit) -> None:
-    @register(name)
+    @register(name, sql.fitted(name.removeprefix("fit_"), CFG.penalizer))
     def fitted(spark, sf):
         customers = written(_customers(spark, sf), "histories")
         return _fitted(spark, fit(customers, CFG.penalizer))
@@ -413,13 +413,15 @@ def _published_models(spark, path: str) -> str:
     return path
 
 
-@register("run_weekly")
+@register("run_weekly", "SELECT * REPLACE (round(clv, 1) AS clv, round(predicted_value_next_6_month, 1) AS "
+          f"predicted_value_next_6_month) FROM ({sql.segmented('weekly_predicted')})")
 def run_weekly(spark, sf):
+    """The weekly job: both searches for parameters end within rounding, so money is compared to a tenth."""
     work = shared_path(spark, "weekly")
     table = predictions.PredictionTable(spark, f"{work}/table")
     jobs.run_weekly(spark, fx.ledger(spark, sf), f"{work}/models", table, f"{work}/staging",
                     CFG, fx.AS_OF)
-    return table.current()
+    return table.current().withColumns({c: F.round(c, 1) for c in ("clv", "predicted_value_next_6_month")})
 
 
 def _weekly_base(spark, sf, work: str) -> predictions.PredictionTable:

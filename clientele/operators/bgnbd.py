@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clientele.config import BGNBD
+from clientele.functions.jets import Jet
 from clientele.functions.special import gammaln, hyp2f1_tail, ln, power_difference
 
 
@@ -46,6 +47,48 @@ class BgNbd:
         return (constant + gammaln(rate) + gammaln(p["b"] + x) - gammaln(p["a"] + p["b"] + x)
                 + F.when(x > 0, either).otherwise(alive))
 
+    @staticmethod
+    def by_frequency(p: dict[str, Jet], frequency: np.ndarray) -> Jet:
+        """The part of ln L that depends on the frequency alone."""
+        r, alpha, a, b, x = p["r"], p["alpha"], p["a"], p["b"], frequency
+        return ((r + x).gammaln() - r.gammaln() + r * alpha.log() + (a + b).gammaln() + (b + x).gammaln()
+                - b.gammaln() - (a + b + x).gammaln())
+
+    @staticmethod
+    def row_derivatives(p: dict[str, Column], frequency: Column, recency: Column,
+                        T: Column) -> tuple[list[dict[str, Column]], dict[tuple, Column]]:
+        """The rest of ln L, ln(e^A + e^D): A is that of a customer who is alive, D of one who left after the last purchase.
+
+        Columns to add one after the other, and from them the value and its derivatives, named by no, one
+        and two parameters.
+        """
+        x, r, alpha = frequency, p["r"], p["alpha"]
+        rate, old, seen, left, odds, share, none = (F.col(f"_{n}") for n in (
+            "rate", "old", "seen", "left", "odds", "share", "none"))
+        steps = [
+            {"_rate": r + x, "_old": 1.0 / (alpha + T), "_seen": 1.0 / (alpha + recency), "_none": F.lit(0.0),
+             "_left": 1.0 / (p["b"] + F.greatest(x, F.lit(1.0)) - 1.0)},
+            {"_log_old": F.log(old), "_log_seen": F.log(seen)},
+            {"_odds": F.log(p["a"] * left) + rate * (F.col("_log_seen") - F.col("_log_old"))},
+            {"_share": F.when(x > 0, 1.0 / (1.0 + F.exp(-odds))).otherwise(0.0)}]
+        alive = {("r",): F.col("_log_old"), ("alpha",): -rate * old, ("r", "alpha"): -old,
+                 ("alpha", "alpha"): rate * old * old}
+        dead = {("r",): F.col("_log_seen"), ("alpha",): -rate * seen, ("a",): 1.0 / p["a"], ("b",): -left,
+                ("r", "alpha"): -seen, ("alpha", "alpha"): rate * seen * seen, ("a", "a"): -1.0 / (p["a"] * p["a"]),
+                ("b", "b"): left * left}
+        either = F.greatest(odds, none) + F.log1p(F.exp(-F.abs(odds)))
+        out = {(): rate * F.col("_log_old") + F.when(x > 0, either).otherwise(0.0)}
+        names = ("r", "alpha", "a", "b")
+        steps.append({f"_{n}_apart": dead[(n,)] - alive.get((n,), none) for n in names})
+        for n in names:
+            out[(n,)] = alive.get((n,), none) + share * F.col(f"_{n}_apart")
+        for i, n in enumerate(names):
+            for m in names[i:]:
+                here = alive.get((n, m), none)
+                out[(n, m)] = (here + share * (dead.get((n, m), none) - here)
+                               + share * (1.0 - share) * F.col(f"_{n}_apart") * F.col(f"_{m}_apart"))
+        return steps, out
+
     def p_alive(self) -> Column:
         x, recency, age = F.col("frequency"), F.col("recency"), F.col("T")
         odds = (self.a / (self.b + x - 1.0)

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clientele.config import PARETO
+from clientele.functions.jets import Jet, log_hyp2f1_one
 from clientele.functions.special import gammaln, hyp2f1_one, ln, power_difference
 
 
@@ -76,6 +77,44 @@ class ParetoNbd:
         gone = F.greatest(odds, F.lit(0.0)) + F.log1p(F.exp(-F.abs(odds)))
         return (constant + gammaln(rate) - rate * F.log(alpha + T) - s * F.log(beta + T) + gone)
 
+    @staticmethod
+    def by_frequency(p: dict[str, Jet], frequency: np.ndarray) -> Jet:
+        """The part of ln L that depends on the frequency alone."""
+        r = p["r"]
+        return (r + frequency).gammaln() - r.gammaln() + r * p["alpha"].log() + p["s"] * p["beta"].log()
+
+    @staticmethod
+    def row_total(p: dict[str, Jet], frequency: np.ndarray, recency: np.ndarray, T: np.ndarray,
+                  weight: np.ndarray) -> np.ndarray:
+        """The weighted sum of the rest of ln L over some rows, and its derivatives (numpy: the hypergeometric
+        sums run to a tolerance).
+        """
+        r, alpha, s, beta = (p[n] for n in ("r", "alpha", "s", "beta"))
+
+        def alive(x, age) -> Jet:
+            return -((r + x) * (alpha + age).log()) - s * (beta + age).log()
+
+        # Who bought in the last instant is alive: A0 is zero for all parameters.
+        now = recency >= T
+        total = alive(frequency[now], T[now]).total(weight[now])
+        x, tx, age, weight = frequency[~now], recency[~now], T[~now], weight[~now]
+        if not len(x):
+            return total
+        n = r + x
+        swapped = bool(alpha.value > beta.value)
+        small, large = (beta, alpha) if swapped else (alpha, beta)
+        b = n if swapped else s + 1.0
+        powers = (-s, -n) if swapped else (1.0 - n, -s - 1.0)
+
+        def log_term(t) -> Jet:
+            z = (large - small) / (large + t)
+            return (log_hyp2f1_one(b, n + s + 1.0, z) + powers[0] * (small + t).log() + powers[1] * (large + t).log())
+
+        first, last = log_term(tx), log_term(age)
+        odds = (s.log() - (n + s).log() + n * (alpha + age).log() + s * (beta + age).log()
+                + first + (last - first).log_one_less_exp())
+        return total + (alive(x, age) + odds.softplus()).total(weight)
+
     def p_alive(self) -> Column:
         odds = _dead_odds_column(F.col("frequency"), F.col("recency"), F.col("T"),
                                  *(F.lit(v) for v in (self.r, self.alpha, self.s, self.beta)))

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from checks.parameters import BG, GG, PARETO
 from clientele.config import horizon
+from clientele.functions import jets
 from clientele.functions.special import gammaln, hyp2f1_one, hyp2f1_tail
 from clientele.operators import rfm
 from clientele.operators.bgnbd import BgNbd
 from clientele.operators.fitting import (
-    fit, fit_bgnbd, fit_gamma_gamma, likelihoods, purchase_model, sufficient_rows)
+    Likelihood, fit, fit_bgnbd, fit_gamma_gamma, likelihoods, purchase_model, sufficient_rows)
 from clientele.operators.gammagamma import GammaGamma
 from clientele.operators.pareto import ParetoNbd
 from clientele.operators.scoring import discounted_purchases, lifetime_value, predict
@@ -225,3 +226,76 @@ def test_hypergeometric_values_do_not_depend_on_their_neighbours():
 def test_hypergeometric_fraction_says_when_it_cannot_reach_its_tolerance():
     with pytest.raises(ArithmeticError):
         hyp2f1_one(np.array([1.5]), np.array([2.5]), np.array([1.0 - 1e-16]))
+
+
+def test_gammaln_derivatives():
+    z = np.array([0.02, 0.5, 1.0, 3.7, 40.0])
+    value, slope, bend = jets.gammaln_derivatives(z)
+    assert value == pytest.approx([math.lgamma(v) for v in z], rel=1e-12, abs=1e-12)
+    euler = 0.5772156649015329
+    assert slope[1:3] == pytest.approx([-euler - 2 * math.log(2), -euler], rel=1e-13)
+    assert bend[1:3] == pytest.approx([math.pi ** 2 / 2, math.pi ** 2 / 6], rel=1e-13)
+
+
+def _jet_of_hypergeometric(b, c, z):
+    one = jets.variables([1.0, 1.0, 1.0])
+    inner = [v + (np.asarray(x) - 1.0) for v, x in zip(one, (b, c, z))]
+    return jets.log_hyp2f1_one(*inner)
+
+
+def test_hypergeometric_derivatives():
+    """Values against the library's function, slopes against differences of values, bends against those of slopes."""
+    rng = np.random.default_rng(11)
+    b = rng.uniform(0.3, 6, 200)
+    c, z = b + rng.uniform(0.6, 9, 200), rng.uniform(0.01, 0.97, 200)
+    z[:3] = 0.0999999, 0.1000001, 0.02
+    here = _jet_of_hypergeometric(b, c, z)
+    assert here.value == pytest.approx(np.log(hyp2f1_one(b, c, z)), abs=1e-13)
+    for k in range(3):
+        move = [1e-5 * (i == k) for i in range(3)]
+        up = _jet_of_hypergeometric(b + move[0], c + move[1], z + move[2])
+        down = _jet_of_hypergeometric(b - move[0], c - move[1], z - move[2])
+        assert here.gradient[k] == pytest.approx((up.value - down.value) / 2e-5, rel=1e-5, abs=1e-7)
+        for place, (i, j) in enumerate(jets.pairs(3)):
+            if k in (i, j):
+                other = j if k == i else i
+                slope = (up.gradient[other] - down.gradient[other]) / 2e-5
+                assert here.hessian[place] == pytest.approx(slope, rel=1e-4, abs=1e-6)
+
+
+@pytest.mark.parametrize("model", [BG, PARETO, ParetoNbd(0.5, 11.0, 0.7, 4.0), ParetoNbd(1.0, 1.0, 1.0, 1.0), GG])
+def test_slopes_of_the_likelihood(spark, model):
+    """One pass gives the value that the plain likelihood has, and its derivatives."""
+    family, p = type(model), np.array(list(vars(model).values()))
+    rng = np.random.default_rng(2)
+    data = [(float(rng.integers(1, 6)), float(t * rng.uniform(0.1, 1)), float(t), float(rng.gamma(3, 10) + 0.1))
+            for t in rng.uniform(5, 40, 150)]
+    data += [(2.0, 9.0, 9.0, 5.0)] * 2 + ([] if family is GammaGamma else [(0.0, 0.0, 20.0, 0.0)])
+    rows = sufficient_rows(spark.createDataFrame(
+        data, "frequency double, recency double, T double, monetary_value double"), family).cache()
+    likelihood, unit = Likelihood(rows, family), np.eye(len(p)) * 1e-4
+    here, *around = likelihood.slopes([p, *(p + e for e in unit), *(p - e for e in unit)])
+    plain = likelihoods(rows, family, [dict(zip(likelihood.names, map(float, q)))
+                                       for q in (p, *(p + e for e in unit), *(p - e for e in unit))])
+    up, down = slice(1, 1 + len(p)), slice(1 + len(p), None)
+    assert here.value == pytest.approx(plain[0], rel=1e-12)
+    assert here.gradient == pytest.approx((np.array(plain[up]) - plain[down]) / 2e-4, rel=1e-4, abs=1e-5)
+    ups, downs = around[:len(p)], around[len(p):]
+    for i in range(len(p)):
+        assert here.hessian[i] == pytest.approx((ups[i].gradient - downs[i].gradient) / 2e-4, rel=1e-4, abs=1e-4)
+
+
+def test_customers_who_never_leave_send_a_parameter_to_the_floor(spark):
+    rng = np.random.default_rng(8)
+    data = [(float(x), float(t * x / (x + 1.0)), float(t)) for x, t in zip(rng.integers(4, 9, 300), rng.uniform(30, 40, 300))]
+    rfm_ = spark.createDataFrame(data, "frequency double, recency double, T double")
+    found = fit(BgNbd, rfm_, 0.03)
+    assert found.converged and found.steps < 40
+    assert found.model.a == pytest.approx(1e-8, rel=1e-6)
+
+
+def test_value_fit_visits_rows_for_one_logarithm(spark):
+    rows = spark.createDataFrame([(1.0, 5.0)], "frequency double, monetary_value double")
+    likelihood = Likelihood(sufficient_rows(rows, GammaGamma), GammaGamma)
+    assert sum(str(c).count("ln(") for step in likelihood._steps for c in step.values()) == 1
+    assert "ln(" not in " ".join(map(str, likelihood._sums))
