@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from types import SimpleNamespace
 
+import numpy as np
+
 from checks.parameters import BG, GG, PARETO
 
 _AS_OF = "DATE '2001-08-01'"
@@ -280,18 +282,26 @@ _DELTA = 1e-3
 _FLOOR = "ln(1e-8)"
 _NODES = 24
 
+
+def _left() -> str:
+    """The time when a customer left, integrated by Gauss and Legendre's rule."""
+    places, weights = np.polynomial.legendre.leggauss(_NODES)
+    terms = []
+    for place, weight in zip(places.tolist(), weights.tolist()):
+        then = f"tx + (t - tx) * {(1 + place) / 2!r}"
+        terms.append(f"{weight!r} * ((alpha + t) / (alpha + {then})) ** (r + x) "
+                     f"* ((beta + t) / (beta + {then})) ** s / (beta + {then})")
+    return f"(t - tx) / 2 * ({' + '.join(terms)})"
+
+
 _LIKELIHOODS = {
     "bgnbd": (("r", "alpha", "a", "b"), """
         lgamma(r + x) - lgamma(r) + r * ln(alpha) + lgamma(a + b) + lgamma(b + x) - lgamma(b) - lgamma(a + b + x)
         - (r + x) * ln(alpha + t) + CASE WHEN x > 0
             THEN ln(1 + a / (b + x - 1) * ((alpha + t) / (alpha + tx)) ** (r + x)) ELSE 0 END"""),
-    # The time when a customer left is integrated by Gauss and Legendre's rule.
-    "pareto_nbd": (("r", "alpha", "s", "beta"), """
+    "pareto_nbd": (("r", "alpha", "s", "beta"), f"""
         lgamma(r + x) - lgamma(r) + r * ln(alpha) + s * ln(beta) - (r + x) * ln(alpha + t) - s * ln(beta + t)
-        + ln(1 + s * (t - tx) / 2 * list_sum(list_transform(nodes, lambda n: n[2]
-            * ((alpha + t) / (alpha + tx + (t - tx) * (1 + n[1]) / 2)) ** (r + x)
-            * ((beta + t) / (beta + tx + (t - tx) * (1 + n[1]) / 2)) ** s
-            / (beta + tx + (t - tx) * (1 + n[1]) / 2))))"""),
+        + ln(1 + s * ({_left()}))"""),
     "gamma_gamma": (("p", "q", "v"), """
         lgamma(p * x + q) - lgamma(p * x) - lgamma(q) + q * ln(v) + (p * x - 1) * ln(m) + p * x * ln(x)
         - (p * x + q) * ln(x * m + v)"""),
@@ -355,11 +365,6 @@ def _search(kind: str, penalizer: float, source: str) -> str:
     penalty = " + ".join(f"exp(2 * (any_value(cand[{i + 1}]) + any_value(off[{i + 1}])))" for i in range(n))
     apart = "greatest(" + ", ".join(f"abs(cand[{i + 1}] - spot[{i + 1}])" for i in range(n)) + ")"
     scale = f"(SELECT 10.0 / max(T) FROM {source})" if timed else "1.0"
-    nodes = ""
-    if kind == "pareto_nbd":
-        import numpy as np
-        nodes_at, weight = np.polynomial.legendre.leggauss(_NODES)
-        nodes = "[" + ", ".join(f"[{a!r}, {w!r}]" for a, w in zip(nodes_at.tolist(), weight.tolist())) + "]"
     rates = {"alpha", "beta"}
     values = " UNION ALL ".join(
         f"SELECT '{name}' AS parameter, exp(spot[{i + 1}])" + (f" / {scale}" if name in rates else "")
@@ -378,8 +383,7 @@ def _search(kind: str, penalizer: float, source: str) -> str:
                 SELECT id, any_value(s.i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
                   any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand,
                   {penalizer} * ({penalty}) - sum(w * ({formula})) / any_value(customers) AS value
-                FROM (SELECT *, {params} {', ' + nodes + ' AS nodes' if nodes else ''}
-                      FROM search, points, hist, size WHERE i = 0 OR (i < 45 AND {apart} > 1e-8)) s GROUP BY id),
+                FROM (SELECT *, {params} FROM search, points, hist, size WHERE i = 0 OR (i < 90 AND {apart} > 1e-8)) s GROUP BY id),
               valued AS (SELECT any_value(i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
                   any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand, list(value ORDER BY id) AS v
                 FROM tried HAVING count(*) > 0),
