@@ -296,6 +296,28 @@ def clv_percentiles(spark, sf):
     return segments.clv_percentiles(fx.existing_predictions(spark, sf))
 
 
+_BOUNDARIES = ("SELECT unnest(range(0, 101)) AS boundary, unnest(quantile_disc(clv, "
+               f"[{', '.join(str(i / 100) for i in range(101))}])) AS clv FROM known")
+
+
+def _boundaries(quantiles: DataFrame) -> DataFrame:
+    return quantiles.select(F.posexplode("percentiles").alias("boundary", "clv"))
+
+
+@register("clv_quantiles", _BOUNDARIES)
+def clv_quantiles(spark, sf):
+    return _boundaries(segments.clv_quantiles(written(fx.existing_predictions(spark, sf), "known")))
+
+
+@register("clv_percentiles_by_sketch", f"SELECT {_PERCENTILES} FROM (FROM known UNION ALL FROM fresh)")
+def clv_percentiles_by_sketch(spark, sf):
+    """Cuts of two batches from their sketches, which are exact up to their size."""
+    sketches = (segments.value_sketch(fx.existing_predictions(spark, sf))
+                .unionByName(segments.value_sketch(fx.new_predictions(spark, sf))))
+    return spark.createDataFrame([tuple(segments.sketched_percentiles(sketches, segments.CUTS))],
+                                 "p25 double, p50 double, p75 double")
+
+
 @register("clv_segments", f"SELECT userId, {sql.value_label('known')} AS clv_segment FROM known")
 def clv_segments(spark, sf):
     return segments.segment(fx.existing_predictions(spark, sf)).select("userId", "clv_segment")

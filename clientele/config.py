@@ -49,3 +49,5 @@ class ScoringConfig:
     unknown_bytes: int = 0
     # Save and publish models whose fit did not converge.
     allow_unconverged: bool = False
+    # Cut value segments by mergeable quantile sketches instead of exact percentiles.
+    approximate_cuts: bool = False

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clientele.config import ScoringConfig
 from clientele.functions.dates import as_date, months_before, period_start
 from clientele.functions.money import exact
-from clientele.operators.joins import salted_semi_join
+from clientele.operators.joins import semi_join
 
 _DEFAULT = ScoringConfig()
 
@@ -75,9 +75,9 @@ def training_rows(values: DataFrame, as_of: dt.date | None = None,
     keeps only those customers (the daily set).
     """
     rows = distinct_orders(values).where(trainable()).drop("copies")
-    rows = salted_semi_join(rows, eligible_customers(values, as_of, cfg), ["userId"], ["OrderId"])
+    rows = semi_join(rows, eligible_customers(values, as_of, cfg), ["userId"])
     if changed is not None:
-        rows = salted_semi_join(rows, changed, ["userId"], ["OrderId"])
+        rows = semi_join(rows, changed, ["userId"])
     rows = rows.select("userId", "order_date", "order_value")
     return rows.orderBy(F.desc("order_date")) if newest_first else rows
 

@@ -3,18 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A hot key is spread over this many shuffle keys; the key list is repeated as often.
-SALTS = 8
 
+def semi_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys`` (distinct).
 
-def salted_semi_join(df: DataFrame, keys: DataFrame, on: list[str], spread_by: list[str],
-                     salts: int = SALTS) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``; one key's rows spread over ``salts`` tasks.
-
-    ``spread_by`` names the columns that tell the rows of one key apart.
+    Nothing is salted in advance: where a key turns out to be hot, AQE splits its rows by their measured
+    size (``forceOptimizeSkewedJoin``) and repeats only that key's partition of the list.
     """
-    salted = df.withColumn("_salt", F.pmod(F.hash(*spread_by), F.lit(salts)))
-    repeated = keys.select(*on, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-    return salted.join(repeated, [*on, "_salt"], "left_semi").select(*df.columns)
+    return df.join(keys.select(*on), on, "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.money import in_base_currency, net_amount, net_of_return
-from clientele.operators.joins import salted_semi_join
+from clientele.operators.joins import semi_join
 from clientele.operators.versions import ORDER, RETURN, version_second, wanted_seconds
 from clientele.session import written
 
@@ -159,7 +159,7 @@ def order_values(lines: DataFrame, documents: DataFrame, rates: DataFrame,
     moves = movements(lines, documents, customers).where(F.col("order_key").isNotNull())
     orders = local_orders(moves)
     if customers is not None:
-        orders = salted_semi_join(orders, customers, ["userId"], ["OrderId"])
+        orders = semi_join(orders, customers, ["userId"])
     return net_orders(convert(orders, rates, "order_revenue", "order_date"),
                       convert(local_returns(moves), rates, "return_amount", "return_date"),
                       returns)

@@ -13,7 +13,8 @@ from clientele.functions.dates import today
 from clientele.operators.cohort import customer_profiles
 from clientele.operators.fitting import fit, fit_gamma_gamma, purchase_model
 from clientele.operators.scoring import predict
-from clientele.operators.segments import COLUMNS, merged_predictions, segment
+from clientele.operators.segments import (
+    COLUMNS, CUTS, merged_predictions, segment, sketched_percentiles, value_sketch)
 from clientele.plans.datasets import scoped_values, scoring_rows
 from clientele.schemas import PREDICTION
 from clientele.session import configure, intermediates, sized_shuffles, written
@@ -34,19 +35,31 @@ def business_day(spark: SparkSession, as_of: dt.date | None, cfg: ScoringConfig)
 
 
 def refresh(table: PredictionTable, new: DataFrame, mode: str, version: str,
-            view: str | None = None) -> int:
+            view: str | None = None, approximate: bool = False) -> int:
     """Publish a new version: replaced by ``new`` (weekly) or merged with it (daily).
 
     Rows are written before they are labelled, so that the cuts and the labels read the
     written rows.  A daily refresh fails if another one was published since it read the table.
+
+    With ``approximate`` the cuts come from mergeable sketches: that of ``new``, and for a daily refresh the one stored
+    with the version that is replaced.  The kept rows are then read once, to be labelled.  Besides the
+    sketch's own error, shares are off by the share of the rows that ``new`` replaces at most.
     """
-    _, base = table.newest()
+    current, base = table.newest()
+    if mode not in ("weekly", "daily"):
+        raise ValueError(f"mode must be weekly or daily, not {mode!r}")
+    if approximate:
+        new = written(new.select(*COLUMNS), "scored")
+        sketches = value_sketch(new)
+        if mode == "daily" and current is not None:
+            sketches = sketches.unionByName(table.sketch(current))
+        rows = new if mode == "weekly" else merged_predictions(table.current(), new)
+        labelled = segment(rows, sketched_percentiles(sketches, CUTS))
+        return table.publish(labelled, version, base if mode == "daily" else None, view)
     if mode == "weekly":
         return table.publish(segment(written(new.select(*COLUMNS), "scored")), version, view=view)
-    if mode == "daily":
-        merged = written(merged_predictions(table.current(), new), "merged")
-        return table.publish(segment(merged), version, base, view)
-    raise ValueError(f"mode must be weekly or daily, not {mode!r}")
+    merged = written(merged_predictions(table.current(), new), "merged")
+    return table.publish(segment(merged), version, base, view)
 
 
 def _version(mode: str, day: dt.date) -> str:
@@ -55,11 +68,13 @@ def _version(mode: str, day: dt.date) -> str:
 
 def run_weekly(spark: SparkSession, ledger: Ledger, registry: str, table: PredictionTable,
                staging: str, cfg: ScoringConfig = _DEFAULT, as_of: dt.date | None = None,
-               observation_end: dt.date | None = None, view: str | None = None) -> DataFrame:
+               observation_end: dt.date | None = None, view: str | None = None,
+               export: str | None = None) -> DataFrame:
     """Fit both models on all eligible customers, score them, and replace the table.
 
     Returns the scored batch.  Without customers nothing is written.  When a fit does not
-    converge it raises, before anything is saved, unless the configuration allows that.
+    converge it raises, before anything is saved, unless the configuration allows that.  ``export`` names a
+    folder that also gets the batch as a date-stamped CSV.
     """
     day = business_day(configure(spark), as_of, cfg)
     with (sized_shuffles(spark, ledger.lines, ledger.documents, unknown=cfg.unknown_bytes),
@@ -77,10 +92,17 @@ def run_weekly(spark: SparkSession, ledger: Ledger, registry: str, table: Predic
         save_models(spark, registry, fits, day, cfg.frequency, cfg.penalizer, cfg.model_prefix)
         version = _version("weekly", day)
         new = _staged(spark, predict(customers, fits[0].model, fits[1].model, cfg), staging, version)
-        refresh(table, new, "weekly", version, view)
+        refresh(table, new, "weekly", version, view, cfg.approximate_cuts)
+        _export(new, export, day, "weekly_predictions")
         return new
 
 
+def _export(batch: DataFrame, folder: str | None, day: dt.date, prefix: str) -> None:
+    if folder is not None:
+        rows = write_csv(batch, f"{folder.rstrip('/')}/{export_name(day, prefix)}")
+        _LOG.info("exported %d rows", rows)
+
+
 def run_daily(spark: SparkSession, ledger: Ledger, registry: str, table: PredictionTable,
               staging: str, cfg: ScoringConfig = _DEFAULT, as_of: dt.date | None = None,
               observation_end: dt.date | None = None, model_type: str | None = None,
@@ -97,9 +119,8 @@ def run_daily(spark: SparkSession, ledger: Ledger, registry: str, table: Predict
                                              cfg.frequency, day, cfg), "profiles")
         new = score_and_merge(spark, profiles, registry, table, staging, _version("daily", day),
                               cfg, observation_end, model_type, view)
-        if export is not None and not new.isEmpty():
-            rows = write_csv(new, f"{export.rstrip('/')}/{export_name(day)}")
-            _LOG.info("exported %d rows", rows)
+        if not new.isEmpty():
+            _export(new, export, day, "daily_predictions")
         return new
 
 
@@ -122,5 +143,5 @@ def score_and_merge(spark: SparkSession, profiles: DataFrame, registry: str,
     purchases, value = latest_models(read_models(spark, registry), cfg.model_prefix, model_type,
                                      cfg.frequency)
     new = _staged(spark, predict(customers, purchases, value, cfg), staging, version)
-    refresh(table, new, "daily", version, view)
+    refresh(table, new, "daily", version, view, cfg.approximate_cuts)
     return new

@@ -5,11 +5,12 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.functions.labels import without_nan
+from clientele.operators.segments import sketch_of
 from clientele.schemas import PREDICTION, SEGMENTED
 
 _COMMIT = T.StructType([
@@ -17,6 +18,8 @@ _COMMIT = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("published_at", T.TimestampType()),
     T.StructField("number", T.LongType()),
+    # Quantile sketch of the version's values; NULL in logs from before there were any.
+    T.StructField("sketch", T.BinaryType()),
 ])
 
 
@@ -29,11 +32,16 @@ def export_name(as_of: dt.date, prefix: str = "daily_predictions") -> str:
     return f"{prefix}_{as_of:%Y%m%d}"
 
 
-def counted(df: DataFrame, write) -> int:
-    """Run ``write`` on the frame and return how many rows it wrote, without a second pass."""
+def observed(df: DataFrame, write, **aggregates: Column) -> dict:
+    """Run ``write`` on the frame and return aggregates of what it wrote, without a second pass."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return seen.get["rows"]
+    write(df.observe(seen, *[a.alias(n) for n, a in aggregates.items()]))
+    return seen.get
+
+
+def counted(df: DataFrame, write) -> int:
+    """Run ``write`` on the frame and return how many rows it wrote."""
+    return observed(df, write, rows=F.count(F.lit(1)))["rows"]
 
 
 def write_csv(predictions: DataFrame, path: str) -> int:
@@ -75,7 +83,7 @@ class PredictionTable:
         self._log = f"{root.rstrip('/')}/log"
 
     def published(self) -> DataFrame:
-        """The log: (version, rows, published_at, number), numbered in order of publication."""
+        """The log: (version, rows, published_at, number, sketch), numbered in order of publication."""
         try:
             return self.spark.read.schema(_COMMIT).parquet(f"{self._log}/*")
         except AnalysisException as error:
@@ -98,6 +106,10 @@ class PredictionTable:
             return self.spark.createDataFrame([], SEGMENTED)
         return self.spark.read.schema(SEGMENTED).parquet(f"{self._versions}/{newest}")
 
+    def sketch(self, version: str) -> DataFrame:
+        """The quantile sketch of a version's values, as one row; none for a version that has none."""
+        return self.published().where(F.col("version") == version).select("sketch")
+
     def publish(self, segmented: DataFrame, version: str, base: int | None = None,
                 view: str | None = None) -> int:
         """Write a version clustered by customer and switch to it.  Returns the row count.
@@ -109,13 +121,15 @@ class PredictionTable:
         """
         number = self._next(base)
         clustered = segmented.repartitionByRange("userId").sortWithinPartitions("userId")
-        rows = counted(clustered, lambda df: df.write.mode("overwrite")
-                       .parquet(f"{self._versions}/{version}"))
+        seen = observed(clustered, lambda df: df.write.mode("overwrite").parquet(f"{self._versions}/{version}"),
+                        rows=F.count(F.lit(1)), sketch=sketch_of(F.col("clv")))
+        rows = seen["rows"]
         if self._next(base) != number:
             raise StaleBase(f"{version} was made from a table that is no longer the current one")
         (self.spark.range(1)
          .select(F.lit(version).alias("version"), F.lit(rows).cast("long").alias("rows"),
-                 F.current_timestamp().alias("published_at"), F.lit(number).cast("long").alias("number"))
+                 F.current_timestamp().alias("published_at"), F.lit(number).cast("long").alias("number"),
+                 F.lit(bytes(seen["sketch"])).alias("sketch"))
          .write.mode("error").parquet(f"{self._log}/{number:010d}"))
         if view is not None:
             self.current().createOrReplaceTempView(view)

@@ -17,7 +17,7 @@ from clientele.plans import datasets, jobs
 from clientele.session import input_bytes, intermediates, sized_shuffles, written
 from clientele.sources.ledger import read_ledger
 from clientele.sources.models import read_models, save_models
-from clientele.sources.predictions import PredictionTable
+from clientele.sources.predictions import PredictionTable, read_csv
 from clientele.streaming.incremental import document_stream, start_scoring
 
 END = dt.date(2024, 6, 1)
@@ -47,8 +47,11 @@ def place(tmp_path):
 
 def test_weekly_then_daily(spark, book, place):
     table = PredictionTable(spark, place("table"))
-    scored = jobs.run_weekly(spark, book, place("models"), table, place("staging"), as_of=AS_OF)
+    scored = jobs.run_weekly(spark, book, place("models"), table, place("staging"), as_of=AS_OF,
+                             export=place("exports"))
     assert scored.count() == 12
+    exported = read_csv(spark, place(f"exports/weekly_predictions_{AS_OF:%Y%m%d}"))
+    assert rows(exported) == rows(scored)
     fitted = {r["model_type"]: r for r in read_models(spark, place("models")).collect()}
     assert set(fitted) == {"BGNBD", "ggf"} and fitted["ggf"]["n_customers"] == 12
     before = {r["userId"]: r for r in table.current().collect()}

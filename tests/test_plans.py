@@ -84,3 +84,23 @@ def test_hot_key_is_split(spark):
     finally:
         for key, value in saved.items():
             spark.conf.set(key, value)
+
+
+def test_hot_customer_is_split_without_salts(spark):
+    """The rows of one customer in a semi join become several tasks, and the list of customers is not repeated."""
+    from clientele.operators.joins import semi_join
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        df = spark.range(60_000, numPartitions=8).selectExpr("IF(id % 3 = 0, -1, id) AS userId", "CAST(id AS STRING) AS v")
+        kept = semi_join(df, spark.range(-1, 30_000).selectExpr("id AS userId"), ["userId"])
+        assert kept.count() == 20_000 + 20_000
+        plan = _final_plan(kept)
+        assert "skewed" in plan and "Generate" not in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

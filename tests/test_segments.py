@@ -157,3 +157,46 @@ def test_published_table_reads_what_it_replaces(spark, tmp_path, two_sides):
     # A version that was written but never logged is not seen.
     segment(new).write.parquet(str(tmp_path / "table" / "versions" / "three"))
     assert table.current().count() == 4 and table.has("two") and not table.has("three")
+
+
+def test_sketches_merge_within_their_error(spark):
+    """Ranks of the sketched boundaries of 60,000 values in parts, and exact ones of few."""
+    from clientele.operators.segments import SKETCH_SIZE, sketched_percentiles, value_sketch
+    values = spark.range(60_000, numPartitions=6).select(
+        F.when(F.col("id") % 1000 == 0, F.lit(float("nan"))).otherwise((F.col("id") * 7919 % 60_013).cast("double"))
+        .alias("clv"))
+    parts = [value_sketch(values.where(F.col("clv") % 3 == i)) for i in range(3)] + [value_sketch(values.limit(0))]
+    sketches = parts[0]
+    for part in parts[1:]:
+        sketches = sketches.unionByName(part)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    known = sorted(r[0] for r in values.where("NOT isnan(clv)").collect())
+    for share, bound in zip(shares, sketched_percentiles(sketches, shares)):
+        rank = sum(v <= bound for v in known) / len(known)
+        assert abs(rank - share) <= 4 / SKETCH_SIZE + 1 / len(known)
+    few = spark.createDataFrame([(float(i),) for i in range(1, 8)] + [(None,)], "clv double")
+    assert sketched_percentiles(value_sketch(few), (0.25, 0.5, 0.75, 1.0)) == [2.0, 4.0, 6.0, 7.0]
+    assert sketched_percentiles(value_sketch(few.limit(0)), (0.5,)) == [None]
+
+
+def test_approximate_refresh_cuts_by_stored_sketches(spark, tmp_path):
+    """A daily refresh takes the kept rows' values from the sketch that was stored with their version."""
+    from clientele.plans.jobs import refresh
+    from clientele.sources.predictions import PredictionTable
+
+    def batch(low, high, add):
+        return spark.range(low, high).selectExpr(
+            "CAST(id AS STRING) AS userId", f"CAST(id + {add} AS DOUBLE) AS clv", "0.5D AS churn_probability",
+            "1.0D AS predicted_value_next_6_month", "2.0D AS current_total_revenue")
+
+    tables = [PredictionTable(spark, str(tmp_path / name)) for name in ("sketched", "exact")]
+    for table, approximate in zip(tables, (True, False)):
+        refresh(table, batch(0, 1000, 0), "weekly", "first", approximate=approximate)
+        refresh(table, batch(1000, 1400, 0), "daily", "second", approximate=approximate)
+    # Nothing was replaced and few values were sketched, so both are exact.
+    sketched, exact = (sorted(map(tuple, t.current().collect())) for t in tables)
+    assert sketched == exact and len(exact) == 1400
+    refresh(tables[0], batch(0, 20, 5000), "daily", "third", approximate=True)
+    labels = {r["clv_segment"]: r["n"] for r in tables[0].current().groupBy("clv_segment")
+              .agg(F.count("*").alias("n")).collect()}
+    assert len(labels) == 4 and all(abs(n - 350) <= 25 for n in labels.values())
