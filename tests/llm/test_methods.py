@@ -346,7 +346,7 @@ STORY = "The council met on Monday, and it voted. Nobody left early, said the ma
 
 @pytest.mark.parametrize("page, text", [
     (f"<body><div id=content><p>{STORY}</p><p>{STORY}</p></div><article class='teaser'><h3>More</h3><a href=x>Read</a></article>"
-     "<article class='comment'><p>I was there, too. It was long.</p></article></body>", f"{STORY}\n{STORY}\nMore"),
+     "<article class='comment'><p>I was there, too. It was long.</p></article></body>", f"{STORY}\n{STORY}"),
     # Smoothing reaches two blocks, so the list is three away from the story.
     ("<body><article><ul><li>Home</li><li>News</li></ul><h1>Council</h1><h2>Vote</h2>" + f"<p>{STORY}</p>" * 3
      + "</article></body>", "Council\nVote" + f"\n{STORY}" * 3)])

@@ -12,6 +12,7 @@ import pytest
 
 from clientele.llm import search, urls
 from clientele.llm.conversations import audit_conversations, auction, damaged, repaired_digests, repaired_rows, solved
+from clientele.llm.html import main_text
 from clientele.llm.queries import QUERIES, URL_RULES
 from clientele.llm.search import masks, ranked_search, terms_of
 
@@ -334,3 +335,37 @@ def test_urls_like_blocked_ones_are_blocked(spark):
            if r["rule"] is None and full[r["page_id"]]["rule"] == "com/"]
     assert len(out) > 5
     assert sum(r["verdict"] == "allow" for r in out) / len(out) > 0.7
+
+
+# 9: main text, names of classes and time
+
+TALE = "It was a long story, as the men said. They had been there, and so on. Nobody knew why."
+
+
+@pytest.mark.parametrize("page, text", [
+    # What a class says about the state of an element is no mark.
+    (f"<body><article class='post has-comments'><h1>T</h1><p>{TALE}</p></article></body>", f"T\n{TALE}"),
+    (f"<body><div class='content no-sidebar'><h1>T</h1><p>{TALE}</p></div></body>", f"T\n{TALE}"),
+    # Nor is a mark that holds the heart of the page; one around a part of it still counts.
+    (f"<body><div class='widget page'><h1>T</h1><p>{TALE}</p><div class=ad><p>{TALE}</p></div></div></body>", f"T\n{TALE}"),
+    (f"<body><article><p>{TALE}</p><p>{TALE}</p></article><div class='comments'><p>{TALE}</p><p>{TALE}</p><p>{TALE}</p></div>",
+     f"{TALE}\n{TALE}"),
+    # A marked inline element leaves its block whole.
+    (f"<body><article><p>See the <span class='tags'>x</span> of 1990. {TALE}</p></article></body>", f"See the of 1990. {TALE}"),
+    (f"<body><article><p>One <b hidden>two</b>three. {TALE}</p></article></body>", f"One three. {TALE}"),
+    # Headings follow their section.
+    (f"<body><div><h3>Latest news</h3><ul><li><a>a</a><li><a>b</a></ul></div><article><h1>T</h1><p>{TALE}</p><h2>U</h2>"
+     f"<p>{TALE}</p></article></body>", f"T\n{TALE}\nU\n{TALE}"),
+    # Quotes belong to attribute values only.
+    (f"<body><article><p class=it's>{TALE}</p><p title=\"a>b\">{TALE}</p></article></body>", f"{TALE}\n{TALE}")])
+def test_marks_and_headings(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<a ", '<a b="', "<b>x", "<div>", "<!x ", "<div class=ad><h1>", "</script "])
+def test_time_goes_with_the_length_of_a_page(page):
+    import time
+    page = "<script>" * (page == "</script ") + page * (400_000 // len(page))
+    start = time.process_time()
+    main_text(page)
+    assert time.process_time() - start < 15
