@@ -383,7 +383,7 @@ def _search(kind: str, penalizer: float, source: str) -> str:
                 SELECT id, any_value(s.i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
                   any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand,
                   {penalizer} * ({penalty}) - sum(w * ({formula})) / any_value(customers) AS value
-                FROM (SELECT *, {params} FROM search, points, hist, size WHERE i = 0 OR (i < 90 AND {apart} > 1e-8)) s GROUP BY id),
+                FROM (SELECT *, {params} FROM search, points, hist, size WHERE i = 0 OR (i < 90 AND {apart} > 1e-10)) s GROUP BY id),
               valued AS (SELECT any_value(i) AS i, any_value(spot) AS spot, any_value(f) AS f, any_value(g) AS g,
                   any_value(h) AS h, any_value(mu) AS mu, any_value(cand) AS cand, list(value ORDER BY id) AS v
                 FROM tried HAVING count(*) > 0),
