@@ -29,6 +29,10 @@ FIRST_SHARE = 0.35
 SKETCHES = 6
 #: A posting list over this many sets is compared block by block.
 LIST_BLOCK = 1_500
+#: So is one whose sets have more tokens than this.
+BLOCK_TOKENS = 2_000_000
+#: Candidates for each set of a list, up to which the pairs are given out; a list with more checks them itself.
+PAIRS_A_SET = 4
 #: Frequencies above are held to be the same.
 MOST_FREQUENT = 100_000
 #: What checking a candidate costs, in steps along a posting list.
@@ -277,11 +281,92 @@ def _common(lists: list[np.ndarray]) -> np.ndarray:
     return counts
 
 
+def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of the sets share; tokens that the same sets have are one weighted column."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    tokens = np.concatenate(sets)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    first = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    times = np.diff(np.r_[first, len(tokens)])
+    owners = np.add.reduceat(mixed(owner.astype(np.uint64) + np.uint64(1)), first)
+    several = times > 1
+    first, times = first[several], times[several]
+    _, column, weight = np.unique(owners[several], return_index=True, return_counts=True)
+    first, times = first[column], times[column]
+    counts = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, len(first), 4096):
+        f, t = first[low:low + 4096], times[low:low + 4096]
+        place = np.arange(t.sum()) + np.repeat(f - np.cumsum(t) + t, t)
+        has = np.zeros((len(sets), len(f)), np.float32)
+        has[owner[place], np.repeat(np.arange(len(f)), t)] = 1
+        counts += (has * weight[low:low + 4096].astype(np.float32)) @ has.T
+    return counts
+
+
+def _forest(links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links (a symmetric matrix), as many as connect what all of them connect."""
+    left = links.any(axis=0)
+    one, other = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    while left.any():
+        reached = np.flatnonzero(left)[:1]
+        left[reached] = False
+        while len(reached):
+            steps = links[reached] & left
+            new = np.flatnonzero(steps.any(axis=0))
+            one.append(reached[steps[:, new].argmax(axis=0)])
+            other.append(new)
+            left[new] = False
+            reached = new
+    return np.concatenate(one), np.concatenate(other)
+
+
+def _by_list(work):
+    """A task over rows (token, low, high, ...) sorted by these three: `work` on the rows of each list in turn."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, new]) if held is not None and held.num_rows else new
+            if not held.num_rows:
+                continue
+            token, low, high = (held.column(i).to_numpy() for i in range(3))
+            first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            for a, b in zip(first, first[1:]):
+                found = work(held.slice(a, b - a))
+                if found is not None:
+                    yield found
+            held = held.slice(first[-1])
+        if held is not None and held.num_rows:
+            found = work(held)
+            if found is not None:
+                yield found
+    return rows
+
+
+def _list_links(percent: int):
+    """From posting lists with whole sets: links that connect what all links between their sets of different groups do.
+
+    Fewer links than sets leave a list, however many of its pairs are linked or refuted.
+    """
+    def links(rows: pa.Table) -> pa.RecordBatch | None:
+        name, group = (rows.column(i).to_numpy() for i in (3, 4))
+        lists = rows.column(5).combine_chunks()
+        n = lists.value_lengths().to_numpy().astype(np.int64)
+        shared = _overlaps(np.split(lists.flatten().to_numpy(), np.cumsum(n)[:-1])).astype(np.int64)
+        linked = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+        linked &= group[:, None] != group[None, :]
+        one, other = _forest(linked)
+        return pa.RecordBatch.from_arrays([pa.array(name[one]), pa.array(name[other])], ["a", "b"])
+    return _by_list(links)
+
+
 def _list_pairs(percent: int):
     """From posting lists, sorted by list: pairs of sets of different groups that may be linked.
 
     A pair may be linked by its sizes and by the prefix tokens it shares; it is given in the list of the
-    smallest token by which it meets.
+    smallest token by which it meets.  A list with more than PAIRS_A_SET pairs for each of its sets names instead,
+    with NULL for `b`, the sets that are in a pair.
     """
     def pairs(rows: pa.Table) -> pa.RecordBatch | None:
         token, low, high, block, name, group, matches, n = (rows.column(i).to_numpy() for i in range(8))
@@ -298,31 +383,19 @@ def _list_pairs(percent: int):
             fits &= _common(prefix) >= np.minimum(matches[:, None], matches[None, :])
         if fits.any():
             fits &= _common([np.unique(m[m < token[0]]) for m in meets]) == 0
-        one, other = np.nonzero(fits)
-        if not len(one):
+        number = int(fits.sum())
+        if not number:
             return None
+        if number > PAIRS_A_SET * len(name):
+            one = name[fits.any(axis=0) | fits.any(axis=1)]
+            other, at = pa.nulls(len(one), pa.int64()), rows.slice(0, 1).select([0, 1, 2]).to_pylist()[0].values()
+        else:
+            row, column = np.nonzero(fits)
+            one, at = np.minimum(name[row], name[column]), (None, None, None)
+            other = pa.array(np.maximum(name[row], name[column]))
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(name[one], name[other])), pa.array(np.maximum(name[one], name[other]))], ["a", "b"])
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            new = pa.Table.from_batches([batch])
-            held = pa.concat_tables([held, new]) if held is not None and held.num_rows else new
-            if not held.num_rows:
-                continue
-            token, low, high = (held.column(i).to_numpy() for i in range(3))
-            first = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            for a, b in zip(first, first[1:]):
-                found = pairs(held.slice(a, b - a))
-                if found is not None:
-                    yield found
-            held = held.slice(first[-1])
-        if held is not None and held.num_rows:
-            found = pairs(held)
-            if found is not None:
-                yield found
-    return rows
+            [pa.array(one), other, *(pa.array([x] * len(one), pa.int32()) for x in at)], ["a", "b", "token", "low", "high"])
+    return _by_list(pairs)
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -339,8 +412,9 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def connected(edges: DataFrame) -> DataFrame:
     """(node, group) for every node of the edges (a, b); a group is named by its smallest node.
 
-    Rounds of large and small stars: each node's neighbours are hung on the smallest one, until nothing
-    changes.  Minima are combined before they are shuffled, and no neighbourhood is ever collected.
+    Rounds of large and small stars: each node's neighbours are hung on the smallest one, until every node
+    is either a centre or hangs on one.  Minima are combined before they are shuffled, and no neighbourhood
+    is ever collected.
     """
     def hung(directed: DataFrame, larger: bool) -> DataFrame:
         least = directed.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -354,19 +428,22 @@ def connected(edges: DataFrame) -> DataFrame:
 
     current = saved(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    while not _stars(current):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = saved(hung(both, True).where("u <> v").distinct(), "edges")
         current = saved(hung(large, False).where("u <> v").distinct(), "edges")
-        after = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == state:
-            break
-        state = after
     return current.select(F.col("u").alias("node"), F.col("v").alias("group")).union(
         current.select(F.col("v").alias("node"), F.col("v").alias("group")).distinct())
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of the edges (u, v) hangs on exactly one node, or is one on which others hang."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"))
+            .union(edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"))))
+    return (ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("edges"))
+            .where("hangs > 0 AND edges > 1").isEmpty())
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                 percent: int = PERCENT) -> DataFrame:
     """One row per document: the id, `n_shingles` (size of its set) and `component_id`.
@@ -386,7 +463,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     4. Tokens of the remaining sets are ordered by frequency, rarest first; each set takes the prefix of least
        estimated cost (`_prefixes`), and pairs of different groups that share enough of its tokens are checked.
        Posting lists within one group are left out, long ones compared in blocks.  Pairs inside a group are
-       reachable from each other already, so no component is lost.
+       reachable from each other already, so no component is lost.  Lists where many pairs are left to check
+       are checked in place, on whole sets, and give only the links that connect their sets.
+    5. The links found so are between groups, so only the groups are connected again.
     """
     return (_grouped(docs, id_col, text_col, words, percent)
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
@@ -465,20 +544,33 @@ def _set_groups(texts: DataFrame, classes: DataFrame, words: int, percent: int)
                .join(alive, "set").select("set", "n", "list"))
     prefixes = saved(ordered.mapInArrow(
         _prefixes(percent), "set long, matches long, n long, prefix array<int>, meets int"), "jaccard-prefixes")
-    postings = (prefixes.select("set", F.explode(F.array_distinct(F.slice("prefix", F.lit(1), F.col("meets")))).alias("token"))
+    postings = (prefixes.select("set", "n", F.explode(F.array_distinct(F.slice("prefix", F.lit(1), F.col("meets")))).alias("token"))
                 .join(start, "set", "left").withColumn("group", F.coalesce("group", "set")))
     postings = saved(postings, "jaccard-postings")
-    lists = (postings.groupBy("token").agg(F.count("*").alias("size"), F.min("group").alias("low_group"),
-                                           F.max("group").alias("high_group"))
-             .where("low_group <> high_group").select("token", "size"))
+    lists = (postings.groupBy("token").agg(F.count("*").alias("size"), F.sum("n").alias("tokens"),
+                                           F.min("group").alias("low_group"), F.max("group").alias("high_group"))
+             .where("low_group <> high_group").select("token", "size", "tokens"))
     lists = saved(lists, "jaccard-lists")
-    parts = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    parts = F.greatest(F.ceil(F.col("size") / LIST_BLOCK), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
     # Prefixes join only the rows of lists with several groups.
-    blocks = (postings.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("set"), parts).cast("int"))
+    blocks = (postings.drop("n").join(lists, "token").withColumn("block", F.pmod(F.xxhash64("set"), parts).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).join(prefixes, "set")
               .select("token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                       "block", "set", "group", "matches", "n", "prefix", "meets"))
-    pairs = (blocks.repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
-             .mapInArrow(_list_pairs(percent), "a long, b long").distinct())
-    far = saved(_links(saved(pairs, "jaccard-pairs"), sets, percent), "jaccard-links")
-    return connected(near.union(far))
+    at = ["token", "low", "high"]
+    offered = saved(blocks.repartition(*at).sortWithinPartitions(*at).mapInArrow(
+        _list_pairs(percent), "a long, b long, token int, low int, high int"), "jaccard-pairs")
+    full = (offered.where("b IS NULL").select(*at, F.col("a").alias("set")).join(start, "set", "left")
+            .join(sets, "set").select(*at, "set", F.coalesce("group", "set").alias("group"), "tokens"))
+    inside = full.repartition(*at).sortWithinPartitions(*at).mapInArrow(_list_links(percent), "a long, b long")
+    pairs = offered.where("b IS NOT NULL").select("a", "b").distinct()
+    far = saved(_links(pairs, sets, percent).union(inside), "jaccard-links")
+
+    ends = saved(far.select(F.col("a").alias("set")).union(far.select("b")).distinct().join(start, "set", "left")
+                 .select("set", F.coalesce("group", "set").alias("group")), "jaccard-ends")
+    bridges = (far.join(ends.select(F.col("set").alias("a"), F.col("group").alias("from")), "a")
+               .join(ends.select(F.col("set").alias("b"), F.col("group").alias("to")), "b")
+               .select(F.col("from").alias("a"), F.col("to").alias("b")))
+    merged = connected(bridges).withColumnRenamed("group", "final")
+    return (start.union(ends).distinct().join(merged, F.col("group") == F.col("node"), "left")
+            .select(F.col("set").alias("node"), F.coalesce("final", "group").alias("group")))

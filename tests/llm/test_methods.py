@@ -183,9 +183,15 @@ def test_near_groups_equal_all_pairs(spark, texts):
     assert got == _near(texts)
 
 
-def test_near_groups_of_one_large_cluster_in_blocks(spark, monkeypatch):
-    """Copies edited more and more: links, near misses and chains, over posting lists of several blocks."""
-    monkeypatch.setattr(jaccard, "LIST_BLOCK", 20)
+@pytest.mark.parametrize("pairs_a_set, block, tokens", [(4, 20, 10 ** 6), (0, 1_500, 2_000), (10 ** 6, 1_500, 10 ** 6)])
+def test_near_groups_of_one_large_cluster_in_blocks(spark, monkeypatch, pairs_a_set, block, tokens):
+    """Copies edited more and more: links, near misses and chains, over posting lists of several blocks.
+
+    Lists give out their pairs or check them in place; blocks end by sets or by tokens.
+    """
+    monkeypatch.setattr(jaccard, "LIST_BLOCK", block)
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", tokens)
+    monkeypatch.setattr(jaccard, "PAIRS_A_SET", pairs_a_set)
     rng = random.Random(8)
     base = [f"w{rng.randrange(500)}" for _ in range(120)]
     docs = {}
@@ -198,6 +204,59 @@ def test_near_groups_of_one_large_cluster_in_blocks(spark, monkeypatch):
     assert {tuple(r) for r in jaccard.near_groups(df).collect()} == _near(docs)
 
 
+def test_lists_of_refuted_pairs_give_few_rows():
+    """300 sets that share two thirds: every pair is a candidate, none a link but those of one chain."""
+    rng = np.random.default_rng(3)
+    sets = [np.r_[np.arange(200), rng.integers(10 ** 6, 10 ** 9, 100)] for _ in range(300)]
+    sets[7], sets[8] = sets[5].copy(), sets[5].copy()
+    sets[7][-10:] += 1
+    sets[8][-20:] += 1
+    n, one = len(sets), np.ones(300, np.int32)
+    prefixes = pa.RecordBatch.from_arrays(
+        [pa.array(one), pa.array(0 * one), pa.array(0 * one), pa.array(0 * one), pa.array(np.arange(n)),
+         pa.array(np.arange(n)), pa.array([1] * n), pa.array([300] * n), pa.array([[1, 2]] * n, pa.list_(pa.int32())),
+         pa.array(one)], [f"c{i}" for i in range(10)])
+    offered = list(jaccard._list_pairs(75)(iter([prefixes])))
+    assert sum(b.num_rows for b in offered) == n and offered[0].column("b").null_count == n
+    whole = pa.RecordBatch.from_arrays(
+        [*prefixes.columns[:3], pa.array(np.arange(n)), pa.array(np.arange(n)), pa.array(sets, pa.list_(pa.int64()))],
+        [f"c{i}" for i in range(6)])
+    found = pa.Table.from_batches(jaccard._list_links(75)(iter([whole])))
+    assert found.num_rows == 2 and {*found["a"].to_pylist(), *found["b"].to_pylist()} == {5, 7, 8}
+
+
+def test_overlaps_and_forest_against_sets():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))) for _ in range(40)]
+    shared = jaccard._overlaps(sets)
+    assert all(shared[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40) if i != j)
+    links = rng.random((40, 40)) < 0.03
+    links |= links.T
+    np.fill_diagonal(links, False)
+
+    def parts(pairs):
+        group = list(range(40))
+        for a, b in pairs:
+            group = [group[a] if g == group[b] else g for g in group]
+        return [group.index(g) for g in group]
+
+    one, other = jaccard._forest(links)
+    assert parts(zip(one, other)) == parts(zip(*np.nonzero(links)))
+    assert len(one) == 40 - len(set(parts(zip(one, other))))
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 0), (2, 0)], [(i + 1, i) for i in range(9)],
+                                   [(5, 1), (5, 2), (2, 3), (7, 8), (8, 8)]])
+def test_connected_equals_a_plain_search(spark, edges):
+    df = spark.createDataFrame(edges, "a long, b long")
+    want = {x: x for e in edges if e[0] != e[1] for x in e}
+    for _ in want:
+        for a, b in edges:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    assert {tuple(r) for r in jaccard.connected(df).collect()} == set(want.items())
+
+
 def test_prefix_tokens_that_become_one_number_ask_for_fewer_matches():
     number, high = 40, 1 << 32
     tokens = np.arange(1, number + 1)
