@@ -19,6 +19,8 @@ BITS = 18
 #: by a hash of the id.  They are dealt to `LEARNERS` tasks, whose models are averaged.
 MAX_LABELS = 40_000
 LEARNERS = 8
+#: Weights that are averaged together.
+BLOCK = 1 << 12
 #: Families of features are means over a text's n-grams; this spreads them to learnable sizes.
 SCALE = 8.0
 
@@ -108,13 +110,35 @@ def _learner(rates: Ftrl, bits: int):
                 s = (np.sqrt(n[own] + g * g) - np.sqrt(n[own])) / rates.alpha
                 z[own] += g - s * w
                 n[own] += g * g
-        model = weights(z, n).astype(np.float32).tobytes()
+        model = weights(z, n).astype(np.float32)
+        parts = [model[i:i + BLOCK].tobytes() for i in range(0, size + 1, BLOCK)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([len(examples)], pa.int64()), pa.array([model], pa.binary())],
-            ["examples", "weights"])
+            [pa.array(range(len(parts)), pa.int32()), pa.array([len(examples)] * len(parts), pa.int64()),
+             pa.array(parts, pa.binary())], ["block", "examples", "weights"])
     return learn
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From blocks of models, sorted by block: for each block the examples, and weights times examples, summed."""
+    def out(block: int, examples: int, sums: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([examples], pa.int64()), pa.array([sums.tobytes()], pa.binary())],
+            ["block", "examples", "sums"])
+
+    held = None
+    for batch in batches:
+        for block, examples, part in zip(*(c.to_pylist() for c in batch.columns[:3])):
+            sums = np.frombuffer(part, np.float32).astype(np.float64) * examples
+            if held and held[0] == block:
+                held = block, held[1] + examples, held[2] + sums
+            else:
+                if held:
+                    yield out(*held)
+                held = block, examples, sums
+    if held:
+        yield out(*held)
+
+
 def learn_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
                   id_col: str = "doc_id", text_col: str = "text", rates: Ftrl = Ftrl(),
                   max_labels: int = MAX_LABELS, bits: int = BITS) -> np.ndarray:
@@ -132,11 +156,15 @@ def learn_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
                 .join(F.broadcast(marks), "id")
                 .repartition(LEARNERS, F.xxhash64(F.lit("learner"), "id", "text"))
                 .sortWithinPartitions(F.xxhash64("id", "text"), "label").select("text", "label"))
-    models = examples.mapInArrow(_learner(rates, bits), "examples long, weights binary").collect()
-    total = sum(m["examples"] for m in models)
+    models = (examples.mapInArrow(_learner(rates, bits), "block int, examples long, weights binary")
+              .withColumn("learner", F.spark_partition_id()))
+    # Models are averaged where they are, a block by itself; the driver gets the mean alone, however many learnt.
+    sums = (models.repartition("block").sortWithinPartitions("block", "learner")
+            .mapInArrow(_summed, "block int, examples long, sums binary"))
     mean = np.zeros((1 << bits) + 1)
-    for m in models:
-        mean += np.frombuffer(m["weights"], np.float32) * (m["examples"] / total)
+    for row in sums.collect():
+        part = np.frombuffer(row["sums"]) / row["examples"]
+        mean[row["block"] * BLOCK:][:len(part)] = part
     return mean.astype(np.float32)
 
 

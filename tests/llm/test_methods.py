@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from clientele.llm import jaccard, language_model, licenses, pieces
+from clientele.llm import jaccard, language_model, licenses, pieces, quality
 from clientele.llm.decontamination import align, find_copies
 from clientele.llm.html import main_text
 from clientele.llm.packing import pack, pack_tokens
@@ -481,3 +481,22 @@ def test_copies_equal_aligning_every_pair_that_shares_a_seed(spark, threshold):
 
 def test_registered_names():
     assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+
+
+def test_averaged_model_is_the_mean_of_the_learners(spark, monkeypatch):
+    """Blocks of models come from their tasks as they are, or cut over batches; weights count by examples."""
+    rng = np.random.default_rng(5)
+    models = [(int(rng.integers(1, 9)), rng.normal(size=70).astype(np.float32)) for _ in range(4)]
+    rows = [(b, e, m[b * 32:b * 32 + 32].tobytes()) for b in range(3) for e, m in models]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["block", "examples", "weights"])
+    got = [r for b in quality._summed(iter([whole.slice(0, 5), whole.slice(5, 0), whole.slice(5)])) for r in b.to_pylist()]
+    assert [r["block"] for r in got] == [0, 1, 2]
+    mean = np.concatenate([np.frombuffer(r["sums"]) / r["examples"] for r in got])
+    assert np.allclose(mean, np.average([m for _, m in models], axis=0, weights=[e for e, _ in models]))
+
+    docs = spark.createDataFrame([(i, f"{'good' if i % 3 else 'bad'} text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    one = quality.learn_quality(docs, labels, bits=10)
+    monkeypatch.setattr(quality, "BLOCK", 100)
+    assert np.array_equal(one, quality.learn_quality(docs, labels, bits=10))
+    assert len(one) == 1025 and one.any()
