@@ -13,12 +13,15 @@ from pyspark.sql import types as T
 from clientele.llm.common import fresh, whole_text
 from clientele.llm.words import WordHasher, bytes_of, ngrams, slices
 
-SEED_WORDS = 3
+SEED_WORDS = 2
 #: Alignment score over the item's number of words from which a passage is a copy.
 THRESHOLD = 0.5
 #: Words of test items that a task holds at a time; a larger benchmark is searched for in several passes.
 BLOCK_WORDS = 1_000_000
 
+#: Hits of seeds that a task spreads over the items at a time, one text's at least.
+MOST_HITS = 1_000_000
+
 MATCH, MISMATCH, GAP = 1, -1, -1
 
 
@@ -28,13 +31,12 @@ def least_score(words, threshold: float):
 
 
 def fewest_shared(words, threshold: float):
-    """Fewest seeds of an item of so many words that a passage at the threshold shares, at least 0.
+    """Fewest places of an item of so many words whose seed a passage at the threshold shares, at least 0.
 
-    m matches and e edits score m - e; the matches form e + 1 runs at most, each of which has all but
-    SEED_WORDS - 1 of its words as beginnings of shared seeds.  The fewest are left when all words match and the
-    edits are words put in.
+    m matches and e edits score m - e >= t.  The matches form e + 1 runs at most, and a run shares all but one of its
+    words as beginnings of pairs: m - (e + 1) >= t - 1 places in all, whatever the edits are.
     """
-    return np.maximum(0, 2 * least_score(words, threshold) - words - (SEED_WORDS - 1))
+    return np.maximum(0, least_score(words, threshold) - 1)
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -75,28 +77,21 @@ class Items:
         self.seeds, self.item, self.place = seeds[order], item[order], (start - cuts[item])[order]
         self.distinct = np.unique(self.seeds)
 
-    def needed(self, threshold: float) -> np.ndarray:
-        """How many of its n seeds an item needs: n - m + 1, so that none of m shared ones can miss them all."""
-        length = np.array([len(w) for w in self.words], np.int64)
-        number = np.bincount(self.item, minlength=len(self.ids))
-        return number - np.maximum(fewest_shared(length, threshold), 1) + 1
-
     def rare(self, counts: dict[int, int], threshold: float) -> None:
-        """Keep of each item as many seeds as it needs, the rarest in the documents; ties stay.
+        """Keep as many places of each item as it needs, those with the rarest seeds in the documents.
 
-        Seeds of no document are shared with none: they go first and are not counted.
+        Seeds of no document are shared with none.  Of f places with other seeds a copy shares m at least, so it
+        meets any f - m + 1 of them, and an item with f < m has no copy.  Of equally rare places the first stay.
         """
         number = np.array([counts.get(i, 0) for i in range(len(self.distinct))], np.int64)
         number = number[np.searchsorted(self.distinct, self.seeds)]
-        found = number > 0
-        self.seeds, self.item, self.place, number = self.seeds[found], self.item[found], self.place[found], number[found]
-        keep = np.zeros(len(self.seeds), bool)
-        order = np.argsort(self.item, kind="stable")
-        cuts = np.searchsorted(self.item[order], np.arange(len(self.ids) + 1))
-        for a, b, least in zip(cuts, cuts[1:], self.needed(threshold)):
-            own = order[a:b]
-            if len(own) and least > 0:
-                keep[own[number[own] <= np.sort(number[own])[least - 1]]] = True
+        length = np.array([len(w) for w in self.words], np.int64)
+        found = np.bincount(self.item[number > 0], minlength=len(self.ids))
+        needed = found - np.maximum(fewest_shared(length, threshold), 1) + 1
+        order = np.lexsort((self.place, number, number == 0, self.item))
+        first = np.searchsorted(self.item[order], np.arange(len(self.ids)))
+        rank = np.arange(len(order)) - first[self.item[order]]
+        keep = np.sort(order[rank < needed[self.item[order]]])
         self.seeds, self.item, self.place = self.seeds[keep], self.item[keep], self.place[keep]
 
 
@@ -133,21 +128,34 @@ def _passages(doc: np.ndarray, item: np.ndarray, place: np.ndarray, length: np.n
     return zip(item[first], low[first], np.maximum.reduceat(high, first) if len(first) else high)
 
 
+def _runs(times: np.ndarray, text: np.ndarray):
+    """(from, to) of runs of hits that spread to about MOST_HITS; a text is cut only where it alone has more."""
+    total, low = np.r_[0, np.cumsum(times)], 0
+    while low < len(times):
+        high = max(low + 1, int(np.searchsorted(total, total[low] + MOST_HITS, side="right")) - 1)
+        if high < len(times) and text[high] != text[low]:
+            high = int(np.searchsorted(text, text[high]))
+        yield low, high
+        low = high
+
+
 def find_copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
                 block_words: int = BLOCK_WORDS, id_col: str = "doc_id",
                 text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """Documents with a copy, also an edited one, of a test item: a row for each pair.
 
-    Words are compared in lower case (A-Z).  An item's seeds are its 3-grams; the rarest in the documents (counted
-    over all of them) lead to the stretches of text around them, and each stretch is aligned with the item by
-    Smith-Waterman (match 1, other word or gap -1).  A pair is a copy if the best score is at least `threshold`
-    times the item's words.  As many seeds are used as it takes to meet every copy that shares a seed
-    (`fewest_shared`): all of them up to thresholds of about a half, where nothing is counted.
+    Words are compared in lower case (A-Z).  An item's seeds are its pairs of neighbouring words; the rarest in the
+    documents (counted over all of them) lead to the stretches of text around them, and each stretch is aligned with
+    the item by Smith-Waterman (match 1, other word or gap -1).  A pair is a copy if the best score is at least
+    `threshold` times the item's words and it shares a seed.  As many seeds are used as no copy can miss
+    (`fewest_shared`): from a score of two matches up, the result is that of aligning every document with every item.
 
     Columns: the ids, `item_words`, `score` (share of the item's words), `first_word` and `end_word` (the best
-    passage in the document, counted in words).  Items of under three words, NULL or empty, and texts without
-    three words, match nothing.  Repeated documents give repeated rows; repeated items give
-    a row each.  Benchmarks of any size are searched for in blocks of bounded size, each against all documents.
+    passage in the document, counted in words; of equal scores the first).  Items of under two words, NULL or
+    empty, and texts without two words, match nothing; without documents or items there are no rows.  Long texts are
+    read whole, hits are spread over items a bounded number at a time.  Repeated documents give repeated rows; repeated
+    items and NULL ids give a row each; other columns, whatever their names, are not read.  Benchmarks of any size are
+    searched for in blocks of bounded size, each against all documents.
     """
     spark = docs.sparkSession
     texts = docs.select(whole_text(F.col(text_col)).alias("text"), F.col(id_col).alias("id"))
@@ -165,10 +173,11 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESH
         items = Items(WordHasher(), [r["item"] for r in own], [r["text"] for r in own])
         if not len(items.seeds):
             continue
-        if (items.needed(threshold) < np.bincount(items.item, minlength=len(items.ids))).any():
-            counts = (texts.select("text").mapInArrow(_counted(items), "seed long, texts long")
-                      .groupBy("seed").agg(F.sum("texts").alias("texts")).collect())
-            items.rare({r["seed"]: r["texts"] for r in counts}, threshold)
+        counts = (texts.select("text").mapInArrow(_counted(items), "seed long, texts long")
+                  .groupBy("seed").agg(F.sum("texts").alias("texts")).collect())
+        items.rare({r["seed"]: r["texts"] for r in counts}, threshold)
+        if not len(items.seeds):
+            continue
         found.append(texts.mapInArrow(_aligned(items, threshold, schema), schema))
     if not found:
         return spark.createDataFrame([], schema)
@@ -196,32 +205,34 @@ def _aligned(items: Items, threshold: float, schema: T.StructType):
         many = np.diff(np.r_[first, len(items.seeds)])
         for whole in batches:
             for batch in slices(whole, 0):
-                out: list[tuple] = []
                 hashes, owner, *_ = hasher.all_words(*bytes_of(batch.column(0)))
                 cuts = np.searchsorted(owner, np.arange(batch.num_rows + 1))
                 seeds, text, start = ngrams(hashes, owner, SEED_WORDS)
                 place = np.searchsorted(distinct, seeds)
                 place[place == len(distinct)] = 0
                 hit = np.flatnonzero(distinct[place] == seeds)
-                # Each hit once for every item and place that has the seed.
-                times = many[place[hit]]
-                hits = np.repeat(hit, times)
-                which = np.repeat(first[place[hit]], times) + (
-                    np.arange(len(hits)) - np.repeat(np.cumsum(times) - times, times))
-                borders = np.searchsorted(text[hits], np.arange(batch.num_rows + 1))
-                for i in np.flatnonzero(np.diff(borders)):
-                    a, b = borders[i], borders[i + 1]
-                    words = hashes[cuts[i]:cuts[i + 1]]
-                    best: dict[int, tuple[int, int, int]] = {}
-                    for item, low, high in _passages(start[hits[a:b]] - cuts[i], items.item[which[a:b]],
-                                                     items.place[which[a:b]], length, least):
-                        low = max(0, int(low))
-                        if not within_reach(item, words[low:int(high)]):
-                            continue
-                        score, begin, end = align(items.words[item], words[low:int(high)])
-                        if score >= threshold * length[item] and score > best.get(item, (0,))[0]:
-                            best[item] = (score, low + begin, low + end)
-                    out.extend((int(i), item, *values) for item, values in sorted(best.items()))
+                place = place[hit]
+                best: dict[tuple[int, int], tuple[int, int, int]] = {}
+                for low, high in _runs(many[place], text[hit]):
+                    # Each hit once for every item and place that has the seed.
+                    times = many[place[low:high]]
+                    hits = np.repeat(hit[low:high], times)
+                    which = np.repeat(first[place[low:high]], times) + (
+                        np.arange(len(hits)) - np.repeat(np.cumsum(times) - times, times))
+                    borders = np.searchsorted(text[hits], np.arange(batch.num_rows + 1))
+                    for i in np.flatnonzero(np.diff(borders)):
+                        a, b = borders[i], borders[i + 1]
+                        words = hashes[cuts[i]:cuts[i + 1]]
+                        for item, begin, end in _passages(start[hits[a:b]] - cuts[i], items.item[which[a:b]],
+                                                          items.place[which[a:b]], length, least):
+                            begin = max(0, int(begin))
+                            if not within_reach(item, words[begin:int(end)]):
+                                continue
+                            score, left, right = align(items.words[item], words[begin:int(end)])
+                            copy = score, -begin - left, -begin - right
+                            if score >= least[item] and copy > best.get((int(i), int(item)), (0,)):
+                                best[int(i), int(item)] = copy
+                out = [(*pair, score, -low, -high) for pair, (score, low, high) in sorted(best.items())]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).take(pa.array([o[0] for o in out], pa.int64())),
                      pa.array([items.ids[o[1]] for o in out], _arrow(schema[1].dataType)),

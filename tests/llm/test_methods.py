@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2 as proto
 
-from clientele.llm import jaccard, language_model, licenses, pieces, quality
+from clientele.llm import decontamination, jaccard, language_model, licenses, pieces, quality
 from clientele.llm.decontamination import align, find_copies
 from clientele.llm.html import main_text
 from clientele.llm.packing import pack, pack_tokens
@@ -455,28 +455,57 @@ def test_edited_copies_are_found_and_others_are_not(spark, block_words):
     assert all(90 <= r["first_word"] <= 110 and r["score"] >= 0.5 for r in found)
 
 
-@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8])
-def test_copies_equal_aligning_every_pair_that_shares_a_seed(spark, threshold):
+@pytest.mark.parametrize("threshold, most_hits", [(0.3, 1_000_000), (0.5, 1_000_000), (0.5, 7), (0.8, 1_000_000)])
+def test_copies_equal_aligning_every_document_with_every_item(spark, monkeypatch, threshold, most_hits):
+    monkeypatch.setattr(decontamination, "MOST_HITS", most_hits)
     rng = random.Random(6)
-    items = {k: [f"i{k}w{j}" if rng.random() < 0.7 else rng.choice(["the", "of", "and"]) for j in range(rng.randint(16, 40))]
+    items = {k: [f"i{k}w{j}" if rng.random() < 0.7 else rng.choice(["the", "of", "and"]) for j in range(rng.randint(3, 40))]
              for k in range(40)}
     docs = {}
-    for i in range(60):  # an edited copy of each item, and an exact one of half of them
+    for i in range(100):  # an edited copy of each item twice, and an exact one of half of them
         around = [[rng.choice(["the", "of", "and", f"d{rng.randrange(500)}"]) for _ in range(60)] for _ in range(2)]
         copy = list(items[i % 40])
         if i < 40:
             for at in rng.sample(range(len(copy)), int(len(copy) * rng.choice([0.2, 0.25]))):
                 copy[at] = f"new{rng.randrange(500)}" if i % 2 else f"{copy[at]} new{rng.randrange(500)}"
+        elif i < 80:  # a word put in after every second one: no three words in a row are left
+            copy = " ".join(w if j % 2 else f"{w} {copy[j + 1]} new{j}" for j, w in enumerate(copy[:-1]) if j % 2 == 0).split()
         docs[i] = " ".join(around[0] + copy + around[1]).split()
     number = {w: n for n, w in enumerate(sorted({w for words in [*docs.values(), *items.values()] for w in words}))}
     coded = lambda words: np.array([number[w] for w in words])
-    seeds = lambda words: {tuple(words[i:i + 3]) for i in range(len(words) - 2)}
-    expected = {(i, k) for i, words in docs.items() for k, item in items.items() if seeds(words) & seeds(item)
-                and align(coded(item), coded(words))[0] >= threshold * len(item)}
+    expected = {}
+    for i, words in docs.items():
+        for k, item in items.items():
+            score, *span = align(coded(item), coded(words))
+            if score >= threshold * len(item):
+                expected[i, k] = round(score / len(item), 9)
     frame = lambda rows, names: spark.createDataFrame([(k, " ".join(w)) for k, w in rows.items()], names)
     found = find_copies(frame(docs, "doc_id long, text string"), frame(items, "item_id long, text string"), threshold)
-    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == expected
-    assert {(i, i % 40) for i in range(40, 60)} < expected
+    least = {k: max(2, np.ceil(threshold * len(item) - 1e-9)) for k, item in items.items()}
+    # A score of one is one word alone, which is no seed.
+    expected = {pair: score for pair, score in expected.items() if score * len(items[pair[1]]) > least[pair[1]] - 0.5}
+    got = {(r["doc_id"], r["item_id"]): round(r["score"], 9) for r in found.collect() if r["score"] * r["item_words"] > 1.5}
+    assert got == expected
+    assert {(i, i % 40) for i in range(80, 100)} < set(expected)
+    three = lambda words: {tuple(words[j:j + 3]) for j in range(len(words) - 2)}
+    alone = {(i, k) for i, k in expected if not three(docs[i]) & three(items[k])}
+    assert threshold > 0.5 or alone  # copies that only pairs of words find
+
+
+def test_fewest_shared_seeds_hold_for_random_edits():
+    rng = random.Random(8)
+    for _ in range(3000):
+        n = rng.randint(3, 30)
+        copy = []
+        for w in range(n):
+            roll = rng.random()
+            copy += [] if roll < 0.1 else [w, 100 + w] if roll < 0.3 else [100 + w] if roll < 0.4 else [w]
+        if not copy:
+            continue
+        score = align(np.arange(n), np.array(copy))[0]
+        shared = {(a, a + 1) for a, b in zip(copy, copy[1:]) if b == a + 1 and b < n}
+        if score >= 0.5 * n:
+            assert len(shared) >= decontamination.fewest_shared(n, 0.5)
 
 
 def test_registered_names():
