@@ -6,7 +6,7 @@ import json
 import math
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The notices that public licenses ask for, one passage each.
@@ -73,8 +73,12 @@ THRESHOLD = 0.75
 MAX_TEMPLATE_BIGRAMS = 100_000
 
 
+def _template_words(text: str) -> list[str]:
+    return re.sub(r"[\W_]+", " ", text.lower()).split()
+
+
 def _template_bigrams(text: str) -> list[str]:
-    words = re.sub(r"[\W_]+", " ", text.lower()).split()
+    words = _template_words(text)
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
@@ -134,17 +138,19 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None,
                  text_col: str = "text") -> DataFrame:
     """Passages of the documents that are a license notice: one row each, with the best template.
 
-    A passage is a line, a paragraph (lines up to an empty line) of several lines, or a whole
-    text of several paragraphs.  Passage and template are lower-cased, runs of anything but letters
+    A passage is a line, a paragraph (lines up to an empty line) of several lines, a whole
+    text of several paragraphs, or any run of words, across lines and the marks of source comments (`_stretches`).  Passage and template are lower-cased, runs of anything but letters
     and digits become one space, and they are compared by the Dice coefficient
     2 * |A and B| / (|A| + |B|) over their sets of word bigrams.  A template is a candidate only
     where threshold / (2 - threshold) * |B| <= |A| <= (2 - threshold) / threshold * |B|.
 
-    Columns: the id, `passage` (line, paragraph or text), `passage_no` (from 0), `license`,
-    `shared`, `passage_bigrams`, `template_bigrams`, `dice`.  Of equal scores the
-    first license name wins.  NULL and empty texts, and passages of one word, have no bigrams and
-    give no rows; NULL ids and repeated rows give a row for each passage; other columns are ignored.
-    Everything happens inside the row, without a shuffle.
+    Columns: the id, `passage` (line, paragraph, text or words), `passage_no` (from 0; of words the number of the
+    first one in the text), `license`, `shared`, `passage_bigrams`, `template_bigrams`, `dice`.  A line, paragraph or
+    text has the template of the highest score, of equal scores the first license name; a stretch has a row for
+    each template that it reaches, with the best of its runs.  NULL and empty texts, and passages of one word, have no
+    bigrams and give no rows, nor do empty tables; NULL ids and repeated rows give a row for each passage; other
+    columns, whatever their names, are ignored.  Long texts are read whole.  Only places of template bigrams are
+    shuffled, by document and template.
     """
     sets = {name: _template_bigrams(text) for name, text in (templates or NOTICES).items()}
     sets = {name: b for name, b in sorted(sets.items()) if b}
@@ -156,6 +162,8 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None,
     least = math.ceil(low * min(map(len, sets.values())) - 1e-9)
     most = math.floor(high * max(map(len, sets.values())) + 1e-9)
 
+    longest = {name: math.floor(high * (len(_template_words((templates or NOTICES)[name])) - 1) + 1e-9) for name in sets}
+
     # An explode gives a value that later steps read; an expression in its place would be
     # evaluated anew wherever it is named.
     lowered = docs.select(F.col(id_col).alias("id"),
@@ -196,9 +204,75 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None,
         scored, F.lit(None).cast("struct<license: string, shared: int, template_bigrams: int>"),
         lambda found, t: F.when((dice(t) >= threshold) & (found.isNull() | (dice(t) > dice(found))), t)
         .otherwise(found))
-    return (sized.select("id", "passage", "passage_no", "passage_bigrams",
-                         F.explode(F.array(best)).alias("best"))
-            .where(F.col("best").isNotNull())
-            .select(F.col("id").alias(id_col), "passage", "passage_no", "best.license", "best.shared",
-                    "passage_bigrams", "best.template_bigrams",
-                    dice(F.col("best")).alias("dice")))
+    units = (sized.select("id", "passage", "passage_no", "passage_bigrams",
+                          F.explode(F.array(best)).alias("best"))
+             .where(F.col("best").isNotNull())
+             .select("id", "passage", "passage_no", "best.license", "best.shared",
+                     "passage_bigrams", "best.template_bigrams", dice(F.col("best")).alias("dice")))
+    return units.unionByName(_stretches(named, sets, longest, threshold)).withColumnRenamed("id", id_col)
+
+
+def _stretches(named: DataFrame, sets: dict[str, list[str]], longest: dict[str, int], threshold: float) -> DataFrame:
+    """Of each stretch of a text around a template's bigrams the run of words that is most like the template.
+
+    A run has s different ones of the template's b bigrams, and o places with other bigrams; its Dice coefficient
+    2s / (s + o + b) reaches t where (2 - t)s - to >= tb.  Runs have at most `longest` places, the size bound times the
+    places of the template.  Counting every place of a template bigram, the left side of a run is a difference of
+    two running numbers, so one ordered pass cuts a text into stretches, where the other bigrams
+    between hits outweigh all hits before, and bounds what a stretch can reach.  The best run of a text has no
+    beginning of negative weight, so no cut goes through it.  In the few stretches that can reach the threshold every
+    run from hit to hit is compared; of equal ones the first and shortest counts.
+    """
+    known = named.sparkSession.range(1).select(F.inline(F.from_json(F.lit(json.dumps([
+        {"license": name, "size": len(b), "most": longest[name], "no": no, "bigram": pair}
+        for name, b in sets.items() for no, pair in enumerate(b)])),
+        "array<struct<license: string, size: int, most: int, no: int, bigram: string>>")))
+    # Repeated rows are told from others by id and text; their hits are counted.
+    row = ["id", "text_key", "bytes"]
+    hits = (named.select("id", F.xxhash64("body").alias("text_key"), F.octet_length("body").alias("bytes"),
+                         F.explode(F.array(_words(F.col("body")))).alias("words"))
+            .select(*row, F.posexplode(F.zip_with(
+                "words", F.slice("words", F.lit(2), F.size("words")), lambda a, b: F.concat(a, F.lit(" "), b)))
+                .alias("place", "bigram"))
+            .join(known, "bigram")
+            .groupBy(*row, "license", "size", "most", "no", "place").agg(F.count(F.lit(1)).alias("copies")))
+    text = Window.partitionBy(*row, "license").orderBy("place")
+    # Weights in millionths, so that equal ones are equal.
+    unit = 1_000_000
+    cost = round(threshold * unit)
+    place = F.col("place").cast("long")
+    before = (F.row_number().over(text).cast("long") - 1) * (2 * unit) - place * cost
+    weighed = (hits.withColumn("before", before)
+               .withColumn("stretch", F.min("before").over(text.rowsBetween(Window.unboundedPreceding, 0)))
+               .withColumn("last_place", F.lag("place").over(
+                   Window.partitionBy(*row, "license", "no").orderBy("place"))))
+    stretches = (weighed.groupBy(*row, "license", "size", "most", "stretch")
+                 .agg(F.max(F.col("before") + (2 * unit - cost)).alias("top"), F.max("copies").alias("copies"),
+                      F.sort_array(F.collect_list(F.struct("place", "last_place"))).alias("hits"))
+                 .where(F.col("top") - F.col("stretch") >= F.col("size").cast("long") * cost - 1))
+
+    run = "struct<dice: double, place: int, bigrams: int, shared: int>"
+
+    def longer(first: Column, found: Column, hit: Column) -> Column:
+        """The best run from a hit on, after one more; `seen` counts the different bigrams, `again` the repeats."""
+        repeat = F.when(hit["last_place"] >= first, 1).otherwise(0)
+        seen, again = found["seen"] + 1 - repeat, found["again"] + repeat
+        places = hit["place"] - first + 1
+        dice = F.lit(2.0) * seen / (places - again + F.col("size"))
+        better = (places <= F.col("most")) & (found["best"].isNull() | (dice > found["best"]["dice"]))
+        own = F.struct(dice.alias("dice"), (-first).alias("place"), (again - places).alias("bigrams"),
+                       seen.alias("shared"))
+        return F.struct(seen.alias("seen"), again.alias("again"),
+                        F.when(better, own.cast(run)).otherwise(found["best"]).alias("best"))
+
+    runs = F.transform("hits", lambda first, i: F.aggregate(
+        F.slice("hits", i + 1, F.col("most")),
+        F.struct(F.lit(0).alias("seen"), F.lit(0).alias("again"), F.lit(None).cast(run).alias("best")),
+        lambda found, hit: longer(first["place"], found, hit), lambda found: found["best"]))
+    return (stretches.select("id", "license", "size", "copies", F.explode(F.array(F.array_max(runs))).alias("best"))
+            .where(F.col("best.dice") >= threshold)
+            .select("id", F.lit("words").alias("passage"), (-F.col("best.place")).alias("passage_no"), "license",
+                    F.col("best.shared").alias("shared"), (-F.col("best.bigrams")).alias("passage_bigrams"),
+                    F.col("size").alias("template_bigrams"), F.col("best.dice").alias("dice"),
+                    F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+            .drop("copy"))

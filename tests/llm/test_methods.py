@@ -119,7 +119,76 @@ def test_license_scan_equals_comparing_everything(spark):
             if best[0] >= licenses.THRESHOLD:
                 top = min(n for n, b in sets.items() if 2 * len(own & b) / (len(own) + len(b)) == best[0])
                 expected[i, kind, k] = (top, round(best[0], 9))
-    assert {k: v for k, v in got.items() if k[1] != "text"} == expected and expected
+    assert {k: v for k, v in got.items() if k[1] not in ("text", "words")} == expected and expected
+
+
+def _best_run(words, notice, threshold):
+    """(dice, first word, bigrams, shared) of the most similar run of words, all of them compared; None below threshold."""
+    pairs, best = [f"{a} {b}" for a, b in zip(words, words[1:])], None
+    template = set(licenses._template_bigrams(notice))
+    most = int((len(licenses._template_words(notice)) - 1) * (2 - threshold) / threshold + 1e-9)
+    for first in range(len(pairs)):
+        for end in range(first + 1, min(len(pairs), first + most) + 1):
+            shared = len(set(pairs[first:end]) & template)
+            size = shared + sum(pair not in template for pair in pairs[first:end])
+            dice = 2 * shared / (size + len(template))
+            if dice >= threshold and (best is None or dice > best[0]):
+                best = (dice, first, size, shared)
+    return best
+
+
+def test_runs_of_words_equal_all_runs(spark):
+    """The best of a text's runs for each template, among notices cut, edited, repeated and put into prose."""
+    rng = random.Random(9)
+    notices = {n: t for n, t in licenses.NOTICES.items() if len(t) < 260}
+    bits = [w for t in notices.values() for w in t.split()]
+    texts = []
+    for i in range(60):
+        words = []
+        for _ in range(rng.randint(1, 3)):
+            words += [rng.choice(bits if i % 3 else ["some", "prose", "of", "the"]) for _ in range(rng.randint(0, 12))]
+            words += [w if rng.random() >= 0.08 else rng.choice(bits) for w in rng.choice(list(notices.values())).split()]
+            words += words[-4:] if i % 5 == 0 else []
+        marks = [" ", "\n * ", "\n# ", "\n\n"]
+        texts.append("".join(w + rng.choice(marks if i % 2 else marks[:1]) for w in words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {}
+    for r in licenses.license_scan(docs, notices).where("passage = 'words'").collect():
+        got.setdefault((r["doc_id"], r["license"]), []).append(
+            (r["dice"], r["passage_no"], r["passage_bigrams"], r["shared"]))
+    expected = {}
+    for i, text in enumerate(texts):
+        words = __import__("re").sub(r"[\W_]+", " ", text.lower()).split()
+        for name, notice in notices.items():
+            best = _best_run(words, notice, licenses.THRESHOLD)
+            if best:
+                expected[i, name] = best
+    assert {k: max(v, key=lambda r: (r[0], -r[1], -r[2])) for k, v in got.items()} == expected and len(expected) > 40
+
+
+def test_notices_inside_other_words(spark):
+    header = licenses.NOTICES["GPL-3.0-header"].split()
+    comment = "/*\n" + "".join(f" * {' '.join(header[i:i + 9])}\n" for i in range(0, len(header), 9)) + " */\nint x;"
+    texts = ["Copyright (c) 2020 Foo Inc. Licensed under the Apache License, Version 2.0.",
+             "Released under the MIT License. See LICENSE for details.", comment,
+             "Released under the MIT License. " + "Then much other prose follows here. " * 5 + "Released under the MIT License.",
+             "The license of the house and the version of the story that they released."]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[1]), (None, texts[1]), (None, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.license_scan(docs).where("passage = 'words'").collect()
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["license"], r["passage_no"], r["dice"]) for r in found)
+    mit = [g for g in got if g[1] == "MIT"]
+    assert (0, "Apache-2.0", 5, 1.0) in got and (2, "GPL-3.0-header", 0, 1.0) in got
+    assert mit == [(-1, "MIT", 0, 1.0), (-1, "MIT", 0, 1.0), (1, "MIT", 0, 1.0), (1, "MIT", 0, 1.0), (3, "MIT", 0, 1.0),
+                   (3, "MIT", 35, 1.0)]
+    assert not [g for g in got if g[0] == 4]
+
+
+def test_runs_of_words_in_a_long_text(spark):
+    text = "word " * 100_000 + (licenses.NOTICES["MIT-grant"] + " ") * 50 + "license " * 100_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = licenses.license_scan(docs).where("passage = 'words' AND license = 'MIT-grant'").collect()
+    assert [(r["passage_no"], r["dice"]) for r in found] == [(100_000, 1.0)]
 
 
 # 3: pieces
