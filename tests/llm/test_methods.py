@@ -578,7 +578,7 @@ def test_fewest_shared_seeds_hold_for_random_edits():
 
 
 def test_registered_names():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
 
 
 def test_averaged_model_is_the_mean_of_the_learners(spark, monkeypatch):
