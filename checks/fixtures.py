@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clientele import configure, schemas
 from clientele.functions.money import half_up
+from clientele.session import written
 from clientele.sources.ledger import Ledger, conform
 
 AS_OF = dt.date(2001, 8, 1)
@@ -80,8 +81,9 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> Ledger:
+    """The rates are a stored table, as in any ledger, so that Spark knows their size."""
     return Ledger(ledger_lines(spark, sf_dir), ledger_documents(spark, sf_dir),
-                  fx_rates(spark, sf_dir))
+                  written(fx_rates(spark, sf_dir), "rates"))
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from clientele.functions.money import in_base_currency, net_amount, net_of_return
 from clientele.operators.joins import semi_join
-from clientele.operators.versions import ORDER, RETURN, version_second, wanted_seconds
+from clientele.operators.versions import ORDER, RETURN, version_bounds, version_second
 from clientele.session import written
 
-
 def counted_item(item: str = "ItemId") -> Column:
     """Items whose id starts with a capital P do not count; a NULL item id drops out too."""
     return ~F.col(item).like("P%")
@@ -27,14 +26,18 @@ def signed_lines(lines: DataFrame) -> DataFrame:
 
 
 def current_documents(documents: DataFrame) -> DataFrame:
-    """Documents in the version each role wants: the first for orders, the last for returns."""
-    wanted = wanted_seconds(documents, "OrderId")
-    return (documents
-            .join(wanted, (F.col("OrderId") == F.col("_key"))
-                  & (version_second() == F.col("_second")))
-            .select(F.col("Id").alias("DocumentId"), F.col("_role").alias("role"), "OrderId",
-                    F.col("BillToEmail").alias("userId"), "CurrencyCode",
-                    F.to_date("CreatedOn").alias("day")))
+    """Documents in the versions that a role wants: the first (``oldest``) for orders, the last (``newest``) for returns.
+
+    A version that both want is one row.
+    """
+    bounds = version_bounds(documents, "OrderId")
+    heads = documents.select(F.col("Id").alias("DocumentId"), "OrderId", F.col("BillToEmail").alias("userId"),
+                             "CurrencyCode", F.to_date("CreatedOn").alias("day"), version_second().alias("second"))
+    oldest, newest = F.col("second") == F.col("_first"), F.col("second") == F.col("_last")
+    return (heads
+            .join(bounds, (F.col("OrderId") == F.col("_key")) & (oldest | newest))
+            .select("DocumentId", "OrderId", "userId", "CurrencyCode", "day",
+                    oldest.alias("oldest"), newest.alias("newest")))
 
 
 def movements(lines: DataFrame, documents: DataFrame,
@@ -42,22 +45,23 @@ def movements(lines: DataFrame, documents: DataFrame,
     """Order and return amounts in local currency, one row per order, role, day and currency.
 
     Orders and returns share every scan and shuffle: a line has one role by its
-    sign, and the role is part of the join keys.  ``customers`` (a distinct
+    sign, and takes the versions that its role wants.  ``customers`` (a distinct
     ``userId`` column, written) keeps only what can matter to those customers' orders;
     it is found by a few small jobs at once, before the lines are shuffled.
     """
     if customers is None:
         heads, candidates = current_documents(documents), signed_lines(lines)
-        wanted = wanted_seconds(lines, "Id")
+        bounds = version_bounds(lines, "Id")
     else:
         heads, candidates, versioned = _of_customers(lines, documents, customers)
-        wanted = written(wanted_seconds(versioned, "Id"), "line-versions")
+        bounds = written(version_bounds(versioned, "Id"), "line-versions")
+    is_order = F.col("role") == ORDER
     chosen = (candidates
-              .join(wanted, (F.col("Id") == F.col("_key")) & (F.col("role") == F.col("_role"))
-                    & (F.col("second") == F.col("_second")))
+              .join(bounds, (F.col("Id") == F.col("_key"))
+                    & (F.col("second") == F.when(is_order, F.col("_first")).otherwise(F.col("_last"))))
               .select("DocumentId", "SalesOrderId", "role", "net"))
-    is_order = F.col("role") == ORDER
-    return (chosen.join(heads, ["DocumentId", "role"])
+    return (chosen.join(heads, (chosen["DocumentId"] == heads["DocumentId"])
+                        & F.when(is_order, F.col("oldest")).otherwise(F.col("newest")))
             .select("role", F.when(is_order, F.col("OrderId"))
                     .otherwise(F.col("SalesOrderId")).alias("order_key"),
                     F.when(is_order, F.col("userId")).alias("userId"),
@@ -66,7 +70,9 @@ def movements(lines: DataFrame, documents: DataFrame,
             # ``kind`` repeats the role as an aggregate.  A filter on it stays above the
             # shuffle, so the order and the return branch have the same plan below and
             # Spark runs that shuffle once; a filter on ``role`` would be pushed down
-            # and split the plan in two.
+            # and split the plan in two.  So would a later filter or semi join on the orders'
+            # ``userId``, which local_orders ties to ``kind``; ``kind == ORDER`` would untie it,
+            # because Spark puts such constants into the other conditions.
             .agg(F.round(F.sum("net"), 2).cast("double").alias("amount"),
                  F.max("role").alias("kind")))
 
@@ -83,7 +89,7 @@ def _of_customers(lines: DataFrame, documents: DataFrame,
                     .join(customers, "userId", "left_semi")
                     .where(F.col("OrderId").isNotNull()).select("OrderId").distinct(), "named-orders")
     heads = written(current_documents(documents.join(named, "OrderId", "left_semi")), "order-heads")
-    theirs = heads.where(F.col("role") == ORDER).join(customers, "userId", "left_semi")
+    theirs = heads.where("oldest").join(customers, "userId", "left_semi")
     # Lines on the orders' documents, and return lines against those orders.
     links = F.array(
         F.struct(F.lit(ORDER).alias("role"), F.col("DocumentId").alias("link")),
@@ -100,18 +106,21 @@ def _of_customers(lines: DataFrame, documents: DataFrame,
     credited = written(documents.join(credit, "Id", "left_semi").where(F.col("OrderId").isNotNull())
                        .select("OrderId").distinct(), "credit-orders")
     credits = current_documents(documents.join(credited, "OrderId", "left_semi"))
-    heads = heads.where(F.col("role") == ORDER).union(credits.where(F.col("role") == RETURN))
+    heads = (heads.where("oldest").withColumn("newest", F.lit(False))
+             .unionByName(credits.where("newest").withColumn("oldest", F.lit(False))))
     return heads, candidates, versioned
 
 
 def local_orders(moves: DataFrame) -> DataFrame:
-    return (moves.where(F.col("kind") == ORDER)
+    is_order = F.col("kind") > RETURN
+    return (moves.where(is_order)
             .select(F.col("order_key").alias("OrderId"), F.col("day").alias("order_date"),
-                    "userId", "CurrencyCode", F.col("amount").alias("order_revenue")))
+                    F.when(is_order, F.col("userId")).alias("userId"), "CurrencyCode",
+                    F.col("amount").alias("order_revenue")))
 
 
 def local_returns(moves: DataFrame) -> DataFrame:
-    return (moves.where(F.col("kind") == RETURN)
+    return (moves.where(F.col("kind") < ORDER)
             .select(F.col("order_key").alias("SalesOrderId"), F.col("day").alias("return_date"),
                     "CurrencyCode", F.col("amount").alias("return_amount")))
 

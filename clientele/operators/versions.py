@@ -45,16 +45,13 @@ def pick_versions(df: DataFrame, key: str, which: str = "first",
             .select(*df.columns))
 
 
-def wanted_seconds(df: DataFrame, key: str, ts: str = "__ts_ms") -> DataFrame:
-    """Per key the second that orders want (first) and the one that returns want (last).
+def version_bounds(df: DataFrame, key: str, ts: str = "__ts_ms") -> DataFrame:
+    """Per key the second of its first version, which orders want, and of its last, which returns want.
 
-    One pass over the table serves both roles.
+    One pass over the table serves both roles.  A join on the key alone takes these rows where they are:
+    they are not shuffled again, and the versions of a key stream past the one row of its bounds.
     """
-    bounds = (df.where(F.col(key).isNotNull())
-              .groupBy(F.col(key).alias("_key"))
-              .agg(F.min(version_second(ts)).alias("_first"),
-                   F.max(version_second(ts)).alias("_last")))
-    roles = F.array(
-        F.struct(F.lit(ORDER).alias("_role"), F.col("_first").alias("_second")),
-        F.struct(F.lit(RETURN).alias("_role"), F.col("_last").alias("_second")))
-    return bounds.select("_key", F.inline(roles))
+    return (df.where(F.col(key).isNotNull())
+            .groupBy(F.col(key).alias("_key"))
+            .agg(F.min(version_second(ts)).alias("_first"),
+                 F.max(version_second(ts)).alias("_last")))

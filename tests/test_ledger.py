@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from ledgers import AS_OF, at, document, ledger, line, rate, rows
 
+from clientele import schemas
 from clientele.functions.money import half_even, half_up
 from clientele.operators import cohort, orders, versions
 from pyspark.sql import functions as F
@@ -201,3 +202,11 @@ def test_rounding(spark):
     assert up[1] == -up[0] and up[2] == 0.13
     even = [r[0] for r in df.select(half_even(F.col("x"))).collect()]
     assert even[2] == 0.12 and [r[0] for r in df.select(half_even(F.col("x"), 0)).collect()][3] == 2.0
+
+
+def test_a_version_that_both_roles_want_is_one_row(spark):
+    documents = spark.createDataFrame(
+        [document(1), document(2, changed="2024-01-10"), document(2, changed="2024-01-12"),
+         document(2, changed="2024-01-20")], schemas.DOCUMENT)
+    heads = orders.current_documents(documents).select("DocumentId", "oldest", "newest")
+    assert rows(heads) == [(1, True, True), (2, False, True), (2, True, False)]

@@ -104,3 +104,27 @@ def test_hot_customer_is_split_without_salts(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("name", ["rfm_month", "revenue_weekly", "training_newest_first"])
+def test_a_condition_on_customers_keeps_one_plan_for_orders_and_returns(spark, name, monkeypatch):
+    """A filter on the orders' customer that reached the heads made a second scan and shuffle of all lines' amounts."""
+    from checks import queries
+    kept = []
+    monkeypatch.setattr(queries, "written", lambda df, name: kept.append(df) or df)
+    df = QUERIES[name](spark, SF_DIR)
+    plan = _final_plan(kept[0] if kept else df)
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(order_key#\d+L?, role", re.sub(r"ReusedExchange.*", "", plan))) == 1
+
+
+def test_bounds_of_versions_are_not_shuffled_again(spark):
+    """First and last seconds are joined where they were aggregated; as rows of (key, role, second) they moved twice."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = _final_plan(QUERIES["order_values"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(_key" not in plan
+    assert re.search(r"hashpartitioning\(DocumentId#\d+L?, \d", plan) and "role, 4" not in plan
