@@ -10,6 +10,10 @@ from clientele.operators.joins import semi_join
 from clientele.operators.versions import ORDER, RETURN, version_bounds, version_second
 from clientele.session import written
 
+# Up to this share of all customers, a daily set finds their part of the ledger first.
+FEW = 0.05
+
+
 def counted_item(item: str = "ItemId") -> Column:
     """Items whose id starts with a capital P do not count; a NULL item id drops out too."""
     return ~F.col(item).like("P%")
@@ -158,14 +162,32 @@ def net_orders(orders: DataFrame, returns: DataFrame, mode: str = "per_date") ->
                     .alias("order_value")))
 
 
+def few(customers: DataFrame, documents: DataFrame) -> bool:
+    """Whether these are so few of the documents' customers that their part of the ledger is found first.
+
+    Only the plan depends on it, so an approximate count of the customers is enough.
+    """
+    known = documents.agg(F.approx_count_distinct("BillToEmail")).first()[0]
+    return customers.count() <= FEW * known
+
+
 def order_values(lines: DataFrame, documents: DataFrame, rates: DataFrame,
                  returns: str = "per_date", customers: DataFrame | None = None) -> DataFrame:
-    """Net value of every order in base currency: (OrderId, userId, order_date, order_value)."""
+    """Net value of every order in base currency: (OrderId, userId, order_date, order_value).
+
+    With ``customers`` only their orders: few customers' part of the ledger is found first, by key lists that
+    are small; the lists of many would shuffle lines and documents more often than the amounts of all orders
+    do, which are then taken as a table.
+    """
+    narrow = None
     if customers is not None:
         customers = written(customers, "customers")
+        narrow = customers if few(customers, documents) else None
     # A return without an order never matches.  Said here for both branches, because
     # Spark would infer it for the return branch alone and so split the shared plan.
-    moves = movements(lines, documents, customers).where(F.col("order_key").isNotNull())
+    moves = movements(lines, documents, narrow).where(F.col("order_key").isNotNull())
+    if customers is not None and narrow is None:
+        moves = written(moves, "movements")
     orders = local_orders(moves)
     if customers is not None:
         orders = semi_join(orders, customers, ["userId"])

@@ -204,6 +204,15 @@ def test_rounding(spark):
     assert even[2] == 0.12 and [r[0] for r in df.select(half_even(F.col("x"), 0)).collect()][3] == 2.0
 
 
+@pytest.mark.parametrize("share", [0.0, 1.0])
+def test_few_and_many_customers_have_the_same_orders(spark, book, monkeypatch, share):
+    """One way finds the customers' part of the ledger first, the other takes all amounts."""
+    monkeypatch.setattr(orders, "FEW", share)
+    some = spark.createDataFrame([("a",), ("b",), ("nobody",)], "userId string")
+    whole = orders.order_values(*book).where("userId IN ('a', 'b')")
+    assert rows(whole) and rows(orders.order_values(*book, customers=some)) == rows(whole)
+
+
 def test_a_version_that_both_roles_want_is_one_row(spark):
     documents = spark.createDataFrame(
         [document(1), document(2, changed="2024-01-10"), document(2, changed="2024-01-12"),
