@@ -380,6 +380,24 @@ def test_weights_are_fitted_to_every_token():
     assert told[told != lm.OUTSIDE].tolist() == pairs[tokens].tolist() and len(windows) == sum(-(-counts // lm.BLOCK))
 
 
+def test_frequent_words_are_not_split_into_subwords_again():
+    lm = language_model
+    with open(lm.RANKS, "rb") as file:
+        lines = file.read()
+    batch = pa.RecordBatch.from_arrays([pa.array(["The house, the HOUSE and a tree", "", None, "tree house"])], ["text"])
+    words, pairs, tokens, counts = lm._read(lm.Subwords(lines), WordHasher(), batch)
+    order = np.argsort(words)
+    head = lm.Head(words[order], pairs[order], np.ones(len(words)))
+    known = lm.Subwords(lines, head)
+    known.encoding = None
+    again = lm._read(known, WordHasher(), batch)
+    assert all((a == b).all() for a, b in zip(again, (words, pairs, tokens, counts)))
+    some = lm.Head(head.words[::2], head.pairs[::2], head.times[::2])
+    plain, quick = ([w for out in lm._windows(lines, h)(iter([batch])) for w in out.column(0).to_pylist()]
+                    for h in (None, some))
+    assert plain == quick
+
+
 def test_language_model_counts_and_held_out_texts(spark, texts):
     counts = collections.Counter()
     for name, text in texts.items():
