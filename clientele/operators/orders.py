@@ -29,16 +29,20 @@ def signed_lines(lines: DataFrame) -> DataFrame:
                     version_second().alias("second")))
 
 
+def document_heads(documents: DataFrame) -> DataFrame:
+    """What an order or a return takes from its document, a row for each version."""
+    return documents.select(F.col("Id").alias("DocumentId"), "OrderId", F.col("BillToEmail").alias("userId"),
+                            "CurrencyCode", F.to_date("CreatedOn").alias("day"), version_second().alias("second"))
+
+
 def current_documents(documents: DataFrame) -> DataFrame:
     """Documents in the versions that a role wants: the first (``oldest``) for orders, the last (``newest``) for returns.
 
     A version that both want is one row.
     """
     bounds = version_bounds(documents, "OrderId")
-    heads = documents.select(F.col("Id").alias("DocumentId"), "OrderId", F.col("BillToEmail").alias("userId"),
-                             "CurrencyCode", F.to_date("CreatedOn").alias("day"), version_second().alias("second"))
     oldest, newest = F.col("second") == F.col("_first"), F.col("second") == F.col("_last")
-    return (heads
+    return (document_heads(documents)
             .join(bounds, (F.col("OrderId") == F.col("_key")) & (oldest | newest))
             .select("DocumentId", "OrderId", "userId", "CurrencyCode", "day",
                     oldest.alias("oldest"), newest.alias("newest")))
@@ -46,39 +50,47 @@ def current_documents(documents: DataFrame) -> DataFrame:
 
 def movements(lines: DataFrame, documents: DataFrame,
               customers: DataFrame | None = None) -> DataFrame:
-    """Order and return amounts in local currency, one row per order, role, day and currency.
+    """Exact amounts in local currency, a row per document order, role, order, day and currency.
 
     Orders and returns share every scan and shuffle: a line has one role by its
     sign, and takes the versions that its role wants.  ``customers`` (a distinct
     ``userId`` column, written) keeps only what can matter to those customers' orders;
     it is found by a few small jobs at once, before the lines are shuffled.
+
+    All versions of the documents meet their lines by document id, once; the lines' sums, which are
+    fewer, then go to the versions that their role wants, by order id.  That is where an order's amounts
+    stay: only returns move on, to the orders they name (``local_returns``).
     """
     if customers is None:
-        heads, candidates = current_documents(documents), signed_lines(lines)
+        heads, candidates = document_heads(documents), signed_lines(lines)
         bounds = version_bounds(lines, "Id")
     else:
         heads, candidates, versioned = _of_customers(lines, documents, customers)
         bounds = written(version_bounds(versioned, "Id"), "line-versions")
     is_order = F.col("role") == ORDER
-    chosen = (candidates
-              .join(bounds, (F.col("Id") == F.col("_key"))
-                    & (F.col("second") == F.when(is_order, F.col("_first")).otherwise(F.col("_last"))))
+    wanted = F.col("second") == F.when(is_order, F.col("_first")).otherwise(F.col("_last"))
+    chosen = (candidates.join(bounds, (F.col("Id") == F.col("_key")) & wanted)
               .select("DocumentId", "SalesOrderId", "role", "net"))
-    return (chosen.join(heads, (chosen["DocumentId"] == heads["DocumentId"])
-                        & F.when(is_order, F.col("oldest")).otherwise(F.col("newest")))
-            .select("role", F.when(is_order, F.col("OrderId"))
-                    .otherwise(F.col("SalesOrderId")).alias("order_key"),
-                    F.when(is_order, F.col("userId")).alias("userId"),
-                    "day", "CurrencyCode", "net")
-            .groupBy("order_key", "role", "userId", "day", "CurrencyCode")
+    met = chosen["DocumentId"] == heads["DocumentId"]
+    versions = ["second"] if customers is None else []
+    if customers is not None:
+        met &= F.when(is_order, F.col("oldest")).otherwise(F.col("newest"))
+    keys = ["OrderId", "role", "order_key", "userId", "day", "CurrencyCode"]
+    sums = (chosen.join(heads, met)
+            .select(heads["DocumentId"], *versions, "OrderId", "role",
+                    F.when(is_order, F.col("OrderId")).otherwise(F.col("SalesOrderId")).alias("order_key"),
+                    F.when(is_order, F.col("userId")).alias("userId"), "day", "CurrencyCode", "net")
+            .groupBy("DocumentId", *versions, *keys).agg(F.sum("net").alias("net")))
+    if customers is None:
+        sums = sums.join(version_bounds(documents, "OrderId"), (F.col("OrderId") == F.col("_key")) & wanted)
+    return (sums.groupBy(*keys)
             # ``kind`` repeats the role as an aggregate.  A filter on it stays above the
-            # shuffle, so the order and the return branch have the same plan below and
-            # Spark runs that shuffle once; a filter on ``role`` would be pushed down
+            # aggregate, so the order and the return branch have the same plan below and
+            # Spark runs its shuffles once; a filter on ``role`` would be pushed down
             # and split the plan in two.  So would a later filter or semi join on the orders'
             # ``userId``, which local_orders ties to ``kind``; ``kind == ORDER`` would untie it,
             # because Spark puts such constants into the other conditions.
-            .agg(F.round(F.sum("net"), 2).cast("double").alias("amount"),
-                 F.max("role").alias("kind")))
+            .agg(F.sum("net").alias("net"), F.max("role").alias("kind")))
 
 
 def _of_customers(lines: DataFrame, documents: DataFrame,
@@ -115,18 +127,25 @@ def _of_customers(lines: DataFrame, documents: DataFrame,
     return heads, candidates, versioned
 
 
+def _amount(net: Column) -> Column:
+    return F.round(net, 2).cast("double")
+
+
 def local_orders(moves: DataFrame) -> DataFrame:
+    """One row per order, customer, day and currency; an order's document names it, so its sums are whole."""
     is_order = F.col("kind") > RETURN
     return (moves.where(is_order)
-            .select(F.col("order_key").alias("OrderId"), F.col("day").alias("order_date"),
+            .select(F.col("OrderId"), F.col("day").alias("order_date"),
                     F.when(is_order, F.col("userId")).alias("userId"), "CurrencyCode",
-                    F.col("amount").alias("order_revenue")))
+                    _amount(F.col("net")).alias("order_revenue")))
 
 
 def local_returns(moves: DataFrame) -> DataFrame:
+    """One row per order, day and currency: returns of several credit documents are summed."""
     return (moves.where(F.col("kind") < ORDER)
+            .groupBy("order_key", "role", "day", "CurrencyCode").agg(F.sum("net").alias("net"))
             .select(F.col("order_key").alias("SalesOrderId"), F.col("day").alias("return_date"),
-                    "CurrencyCode", F.col("amount").alias("return_amount")))
+                    "CurrencyCode", _amount(F.col("net")).alias("return_amount")))
 
 
 def convert(df: DataFrame, rates: DataFrame, amount: str, day: str) -> DataFrame:

@@ -128,3 +128,18 @@ def test_bounds_of_versions_are_not_shuffled_again(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "hashpartitioning(_key" not in plan
     assert re.search(r"hashpartitioning\(DocumentId#\d+L?, \d", plan) and "role, 4" not in plan
+
+
+def test_orders_stay_where_their_document_versions_are_chosen(spark):
+    """Document heads moved twice, by order id and by document id, and the sums of orders once more than here."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = _final_plan(QUERIES["order_revenue_local"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    moved = re.findall(r"Exchange hashpartitioning\((\w+?)#", re.sub(r"ReusedExchange.*", "", plan))
+    # The sums of the lines, and the bounds of the versions.
+    assert moved.count("OrderId") == 2
+    # The chosen lines and the heads.
+    assert moved.count("DocumentId") == 2 and "order_key" not in moved
