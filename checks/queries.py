@@ -216,14 +216,14 @@ def rfm_with_revenue(spark, sf):
                                      cohort.customer_revenue(train)))
 
 
-def _customers(spark, sf, mode="weekly"):
+def _customers(spark, sf, mode="weekly", data=None, moves=None):
     """Histories of the scorable customers, from the join-free profiles.
 
     The profiles are written first, as in the jobs: the end of the observation
     is a second look at them.
     """
     profiles = cohort.customer_profiles(
-        datasets.scoped_values(fx.ledger(spark, sf), mode, fx.AS_OF), "M", fx.AS_OF)
+        datasets.scoped_values(data or fx.ledger(spark, sf), mode, fx.AS_OF, moves=moves), "M", fx.AS_OF)
     return datasets.scoring_rows(written(profiles, "profiles"))
 
 
@@ -446,19 +446,23 @@ def run_weekly(spark, sf):
     return table.current().withColumns({c: F.round(c, 1) for c in ("clv", "predicted_value_next_6_month")})
 
 
-def _weekly_base(spark, sf, work: str) -> predictions.PredictionTable:
+def _weekly_base(spark, sf, work: str, data=None, moves=None) -> predictions.PredictionTable:
     table = predictions.PredictionTable(spark, f"{work}/table")
-    jobs.refresh(table, predict(_customers(spark, sf), BG, GG), "weekly", "base")
+    jobs.refresh(table, predict(_customers(spark, sf, "weekly", data, moves), BG, GG), "weekly", "base")
     return table
 
 
 @register("run_daily", sql.segmented("refreshed"))
 def run_daily(spark, sf):
-    """The daily job on a table scored before, with the published parameters."""
-    work = shared_path(spark, "daily")
-    table = _weekly_base(spark, sf, work)
-    jobs.run_daily(spark, fx.ledger(spark, sf), _published_models(spark, f"{work}/models"), table,
-                   f"{work}/staging", CFG, fx.AS_OF)
+    """The daily job on a table scored before, with the published parameters.
+
+    Both read one ledger, so its amounts are computed once.
+    """
+    work, data = shared_path(spark, "daily"), fx.ledger(spark, sf)
+    moves = written(orders.movements(data.lines, data.documents), "movements")
+    table = _weekly_base(spark, sf, work, data, moves)
+    jobs.run_daily(spark, data, _published_models(spark, f"{work}/models"), table,
+                   f"{work}/staging", CFG, fx.AS_OF, moves=moves)
     return table.current()
 
 

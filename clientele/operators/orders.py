@@ -191,21 +191,23 @@ def few(customers: DataFrame, documents: DataFrame) -> bool:
 
 
 def order_values(lines: DataFrame, documents: DataFrame, rates: DataFrame,
-                 returns: str = "per_date", customers: DataFrame | None = None) -> DataFrame:
+                 returns: str = "per_date", customers: DataFrame | None = None,
+                 moves: DataFrame | None = None) -> DataFrame:
     """Net value of every order in base currency: (OrderId, userId, order_date, order_value).
 
     With ``customers`` only their orders: few customers' part of the ledger is found first, by key lists that
     are small; the lists of many would shuffle lines and documents more often than the amounts of all orders
-    do, which are then taken as a table.
+    do, which are then taken as a table.  ``moves`` is that table (``movements`` of all customers), where another
+    step on the same ledger has written it.
     """
-    narrow = None
+    narrow, given = None, moves is not None
     if customers is not None:
         customers = written(customers, "customers")
-        narrow = customers if few(customers, documents) else None
+        narrow = customers if not given and few(customers, documents) else None
     # A return without an order never matches.  Said here for both branches, because
     # Spark would infer it for the return branch alone and so split the shared plan.
-    moves = movements(lines, documents, narrow).where(F.col("order_key").isNotNull())
-    if customers is not None and narrow is None:
+    moves = (moves if given else movements(lines, documents, narrow)).where(F.col("order_key").isNotNull())
+    if customers is not None and narrow is None and not given:
         moves = written(moves, "movements")
     orders = local_orders(moves)
     if customers is not None:

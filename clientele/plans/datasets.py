@@ -18,13 +18,16 @@ _DEFAULT = ScoringConfig()
 
 
 def scoped_values(ledger: Ledger, mode: str = "weekly", as_of: dt.date | None = None,
-                  cfg: ScoringConfig = _DEFAULT) -> DataFrame:
-    """Order values of all customers (weekly) or of the recently changed ones (daily)."""
+                  cfg: ScoringConfig = _DEFAULT, moves: DataFrame | None = None) -> DataFrame:
+    """Order values of all customers (weekly) or of the recently changed ones (daily).
+
+    ``moves`` as in ``order_values``.
+    """
     if mode == "weekly":
-        return order_values(*ledger, returns=cfg.returns)
+        return order_values(*ledger, returns=cfg.returns, moves=moves)
     if mode == "daily":
         changed = changed_customers(ledger.documents, as_of, cfg)
-        return order_values(*ledger, returns=cfg.returns, customers=changed)
+        return order_values(*ledger, returns=cfg.returns, customers=changed, moves=moves)
     raise ValueError(f"mode must be weekly or daily, not {mode!r}")
 
 

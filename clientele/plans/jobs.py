@@ -106,16 +106,18 @@ def _export(batch: DataFrame, folder: str | None, day: dt.date, prefix: str) ->
 def run_daily(spark: SparkSession, ledger: Ledger, registry: str, table: PredictionTable,
               staging: str, cfg: ScoringConfig = _DEFAULT, as_of: dt.date | None = None,
               observation_end: dt.date | None = None, model_type: str | None = None,
-              export: str | None = None, view: str | None = None) -> DataFrame:
+              export: str | None = None, view: str | None = None,
+              moves: DataFrame | None = None) -> DataFrame:
     """Score the recently changed customers with the newest models and merge them in.
 
     Returns the scored batch.  Without changed customers nothing is written.  ``export`` names a
-    folder that also gets the batch as a date-stamped CSV.
+    folder that also gets the batch as a date-stamped CSV.  ``moves``, the ledger's amounts as another job of the
+    day has written them (``movements``), saves computing them again.
     """
     day = business_day(configure(spark), as_of, cfg)
     with (sized_shuffles(spark, ledger.lines, ledger.documents, unknown=cfg.unknown_bytes),
           intermediates(spark)):
-        profiles = written(customer_profiles(scoped_values(ledger, "daily", day, cfg),
+        profiles = written(customer_profiles(scoped_values(ledger, "daily", day, cfg, moves),
                                              cfg.frequency, day, cfg), "profiles")
         new = score_and_merge(spark, profiles, registry, table, staging, _version("daily", day),
                               cfg, observation_end, model_type, view)

@@ -213,6 +213,16 @@ def test_few_and_many_customers_have_the_same_orders(spark, book, monkeypatch, s
     assert rows(whole) and rows(orders.order_values(*book, customers=some)) == rows(whole)
 
 
+def test_given_amounts_stand_for_the_lines(spark, book):
+    """Amounts that another step has taken from the ledger are not computed again."""
+    some = spark.createDataFrame([("a",), ("b",), ("nobody",)], "userId string")
+    moves = orders.movements(book.lines, book.documents)
+    none = book._replace(lines=book.lines.where("Id < 0"))
+    for customers in (None, some):
+        expected = rows(orders.order_values(*book, customers=customers))
+        assert expected and rows(orders.order_values(*none, customers=customers, moves=moves)) == expected
+
+
 def test_a_version_that_both_roles_want_is_one_row(spark):
     documents = spark.createDataFrame(
         [document(1), document(2, changed="2024-01-10"), document(2, changed="2024-01-12"),

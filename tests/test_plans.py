@@ -143,3 +143,12 @@ def test_orders_stay_where_their_document_versions_are_chosen(spark):
     assert moved.count("OrderId") == 2
     # The chosen lines and the heads.
     assert moved.count("DocumentId") == 2 and "order_key" not in moved
+
+
+def test_daily_job_computes_the_amounts_of_its_ledger_once(spark, monkeypatch):
+    """The base and the daily run each computed the amounts of all orders."""
+    from clientele.operators import orders
+    calls, movements = [], orders.movements
+    monkeypatch.setattr(orders, "movements", lambda *args: calls.append(1) or movements(*args))
+    assert QUERIES["run_daily"](spark, SF_DIR).count() > 0
+    assert len(calls) == 1
