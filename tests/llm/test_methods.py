@@ -398,6 +398,66 @@ def test_frequent_words_are_not_split_into_subwords_again():
     assert plain == quick
 
 
+def test_words_encoded_in_one_text_have_the_ids_of_words_encoded_alone():
+    lm = language_model
+    with open(lm.RANKS, "rb") as file:
+        subwords = lm.Subwords(file.read())
+    rng = random.Random(4)
+    words = ["The", "it's", "'s", "'LL", "1a2,b..", "&&&", "a_b-c", "d\u3000e", "x\x1cy", "\u0085zz", "f\xa0", "\xa0", "É", "…", "😀a",
+             "<|endoftext|>", *("".join(rng.choice("abÉ1,.'_\xa0\u2003 "[:-1]) for _ in range(rng.randrange(1, 9))) for _ in range(300))]
+    alone = [subwords.encoding.encode_ordinary(" " + w.encode().lower().decode()) for w in words]
+    pairs = subwords.split([w.encode() for w in words])
+    assert pairs.tolist() == [ids[0] * 65_536 + ids[-1] for ids in alone]
+
+
+def test_each_distinct_word_of_a_task_is_encoded_once():
+    lm, rng = language_model, random.Random(6)
+    with open(lm.RANKS, "rb") as file:
+        subwords = lm.Subwords(file.read())
+    split, asked = subwords.split, []
+    subwords.split = lambda words: asked.extend(words) or split(words)
+    for _ in range(3):
+        batch = pa.RecordBatch.from_arrays([pa.array([" ".join(f"w{rng.randrange(400)}" for _ in range(2000))])], ["text"])
+        words, pairs, _, _ = lm._read(subwords, WordHasher(), batch)
+    assert len(asked) == len(set(asked)) <= 400 and len(asked) >= 390
+    assert (subwords.known.words[1:] > subwords.known.words[:-1]).all()
+
+
+def test_windows_of_kept_tokens_are_those_of_the_texts():
+    lm, rng = language_model, random.Random(5)
+    with open(lm.RANKS, "rb") as file:
+        lines = file.read()
+    texts = [None, "", *(" ".join(f"W{rng.randrange(90)}" for _ in range(n)) for n in (1, 15, 16, 31, 300)), " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    out = list(lm._counted(lines)(iter([batch])))
+    kept = [o.select(["tokens"]) for o in out if not o.column(3).null_count]
+    counts = collections.Counter()
+    for o in out:
+        if o.column(3).null_count:
+            counts.update({w: n for w, _, n, _ in zip(*(c.to_pylist() for c in o.columns))})
+    assert sum(counts.values()) == sum(len(t) // 4 for o in kept for t in o.column(0).to_pylist()) == 363 + len(texts)
+    texts, tokens = ([w for o in lm._windows(*args)(iter(rows)) for w in o.column(0).to_pylist()]
+                     for args, rows in (((lines,), [batch]), ((), kept)))
+    assert texts == tokens
+
+
+@pytest.mark.parametrize("size", [1, 60])
+def test_scores_sum_a_plain_softmax_over_windows(size):
+    lm, rng = language_model, np.random.default_rng(1)
+    model = lm.Attention(lm.Attention.start(np.full(lm.CLASSES, 1 / lm.CLASSES)))
+    model.w = {k: (v + rng.normal(0, 0.2, v.shape) * size).astype(np.float32) for k, v in model.w.items()}
+    counts = np.array([1, 15, 16, 17, 700, 1, 1, 64])
+    told = rng.integers(0, lm.CLASSES, counts.sum())
+    placed, scored, _ = lm._places(told, counts)
+    one, two = (np.where(placed >= 0, rng.integers(0, lm.SYMBOLS - 2, placed.shape), lm.PAD).astype(np.int16) for _ in range(2))
+    got = model.log_probabilities(one, two, placed.astype(np.int16), scored)
+    logits = model._forward(one, two, scored)[-1].astype(np.float64)
+    top = logits.max(axis=2, keepdims=True)
+    logs = logits - top - np.log(np.exp(logits - top).sum(axis=2, keepdims=True))
+    want = np.take_along_axis(logs, np.maximum(placed[scored], 0)[:, :, None], axis=2)[:, :, 0]
+    assert np.allclose(got[scored], np.where(placed[scored] >= 0, want, 0), rtol=1e-3, atol=1e-3 * size)
+
+
 def test_language_model_counts_and_held_out_texts(spark, texts):
     counts = collections.Counter()
     for name, text in texts.items():
