@@ -441,6 +441,15 @@ def test_windows_of_kept_tokens_are_those_of_the_texts():
     assert texts == tokens
 
 
+@pytest.mark.parametrize("frequent", [1, 3, 5, 6, 99])
+def test_frequent_words_are_those_that_sorting_all_words_gives(spark, monkeypatch, frequent):
+    monkeypatch.setattr(language_model, "FREQUENT", frequent)
+    rows = [(5, 50, 7), (4, 40, 2), (-3, 30, 2), (2, 20, 2), (1, 10, 9), (0, 60, 1)]
+    head = language_model._head(spark.createDataFrame(rows, "word long, pair long, count long").repartition(3))
+    want = sorted(sorted(rows, key=lambda r: (-r[2], r[0]))[:frequent], key=lambda r: r[0] % 2 ** 64)
+    assert [(w, p, n) for w, p, n in zip(head.words.view(np.int64).tolist(), head.pairs, head.times)] == want
+
+
 @pytest.mark.parametrize("size", [1, 60])
 def test_scores_sum_a_plain_softmax_over_windows(size):
     lm, rng = language_model, np.random.default_rng(1)
